@@ -10,8 +10,8 @@ Prefixes are made distinct, and equal conversations one row, before the join, so
 that a large part of the rows shares is one row on either side.  The running sum streams over a sorted
 partition and holds no list; lists of turns are made only for the conversations that are rendered.
 
-Nulls and odd input: turns come in the order of turn, role, text, nulls first; repeated rows are repeated
-turns; a null role or text differs from an empty one; rows with a null conversation id form one conversation, kept
+Nulls and odd input: turns are rendered in the order of turn, role, text, nulls first (for hashes, text counts by its
+own hash); repeated rows are repeated turns; a null role or text differs from an empty one; rows with a null conversation id form one conversation, kept
 or dropped like any other; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -57,9 +57,9 @@ def maximal_conversations(turns: DataFrame, **columns) -> DataFrame:
 def render(turns: DataFrame, *, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", opening: str = "<|im_start|>", closing: str = "<|im_end|>") -> DataFrame:
     """(conv, n_turns, n_equal: equal conversations merged, rendered) of each maximal conversation."""
     kept = maximal_conversations(turns, conv=conv, turn=turn, role=role, text=text)
-    rows = turns.withColumn("_key", F.coalesce(F.concat(F.lit("="), F.col(conv).cast("string")), F.lit("")))
+    key = F.coalesce(F.concat(F.lit("="), F.col(conv).cast("string")), F.lit(""))
+    rows = turns.select(key.alias("_key"), F.col(conv).alias("_conv"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))
     rows = rows.join(kept.withColumnRenamed("conv_key", "_key"), "_key")
-    rows = rows.select(F.col(conv).alias("conv"), "_key", "n_turns", "n_equal", F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))
-    listed = rows.groupBy("_key", "n_turns", "n_equal").agg(F.first("conv").alias(conv), F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    listed = rows.groupBy("_key", "n_turns", "n_equal").agg(F.first("_conv").alias(conv), F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
     line = lambda t: F.concat(F.lit(opening), F.coalesce(t["role"], F.lit("")), F.lit("\n"), F.coalesce(t["text"], F.lit("")), F.lit(closing + "\n"))
     return listed.select(conv, "n_turns", "n_equal", F.array_join(F.transform("turns", line), "").alias("rendered"))
