@@ -98,6 +98,22 @@ SELECT d.*, round(x.rate, 9) AS rate, r.replica::INT AS replica,
 FROM documents d JOIN counted x ON x.doc_id = d.doc_id, LATERAL (SELECT unnest(generate_series(0, x.n - 1)) AS replica) r
 """
 
+OP7_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+places AS (SELECT item_id, w, least(13, len(w)) AS k, unnest(generate_series(1, len(w) - least(13, len(w)) + 1)) AS i FROM b WHERE len(w) > 0),
+patterns AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM places),
+windows AS (
+  SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM d, (SELECT DISTINCT k FROM patterns) WHERE len(w) >= k)),
+hits AS (SELECT doc_id, i, k, item_id FROM windows JOIN patterns USING (k, s)),
+counts AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + k - 1)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, sha256(array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',')) AS items_sha256 FROM hits GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN counts USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
 OP8_SQL = r"""
 WITH convs AS (
   SELECT conv_id, list({'r': role, 't': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, text) AS turns,
@@ -146,4 +162,4 @@ FROM base
 
 def oracle_sql() -> dict[str, str]:
     """The other operators have no equivalent in SQL: their tests compare them with brute force."""
-    return {"op6_mixing": OP6_SQL, "op8_chat_collapse": OP8_SQL, "op10_quality_rules": OP10_SQL}
+    return {"op6_mixing": OP6_SQL, "op7_decontamination": OP7_SQL, "op8_chat_collapse": OP8_SQL, "op10_quality_rules": OP10_SQL}
