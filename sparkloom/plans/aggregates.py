@@ -19,8 +19,8 @@ def _named(t):
 
 
 @query(f"""WITH d AS (SELECT source, {_NAME} AS name FROM documents)
-SELECT source AS category, count(*) AS total, count_if(trim(coalesce(name, '')) <> '') AS with_name, count_if(coalesce(name, '') = '') AS without_name,
-  count_if(coalesce(name, '') <> '' AND trim(name) = '') AS empty_name, count(DISTINCT nullif(trim(name), '')) AS unique_names
+SELECT source AS category, count(*) AS total, count(*) FILTER (trim(coalesce(name, '')) <> '') AS with_name, count(*) FILTER (coalesce(name, '') = '') AS without_name,
+  count(*) FILTER (coalesce(name, '') <> '' AND trim(name) = '') AS empty_name, count(DISTINCT nullif(trim(name), '')) AS unique_names
 FROM d GROUP BY ROLLUP(source)""")
 def extraction_stats(t):
     return stats.extraction_stats(_named(t), "source", "name")
@@ -45,7 +45,7 @@ def distinct_geo(t):
 
 @query(f"""WITH d AS (SELECT source, lang, {_NAME} AS name FROM documents)
 SELECT field, filled, total, round(filled / greatest(total, 1) * 100, 4) AS rate FROM (
-  SELECT unnest([{{'field': 'source', 'filled': count_if(source <> '')}}, {{'field': 'lang', 'filled': count_if(lang <> '')}}, {{'field': 'name', 'filled': count_if(name <> '')}}], recursive := true), count(*) AS total FROM d)""")
+  SELECT unnest([{{'field': 'source', 'filled': count(*) FILTER (source <> '')}}, {{'field': 'lang', 'filled': count(*) FILTER (lang <> '')}}, {{'field': 'name', 'filled': count(*) FILTER (name <> '')}}], recursive := true), count(*) AS total FROM d)""")
 def completion_rates(t):
     return stats.completion(_named(t), ["source", "lang", "name"])
 
@@ -54,7 +54,7 @@ _STEP_SQL = """WITH e AS (SELECT *, (row_number() OVER (ORDER BY event_id) - 1)
 
 
 @query(_STEP_SQL + """
-SELECT step, count_if(event_type = 'purchase')::BIGINT AS total_correct, count(*) AS possible_correct, count_if(event_type = 'purchase') / count(*) AS accuracy,
+SELECT step, count(*) FILTER (event_type = 'purchase')::BIGINT AS total_correct, count(*) AS possible_correct, count(*) FILTER (event_type = 'purchase') / count(*) AS accuracy,
   round(avg(k), 6) AS avg_length, median(k) AS median_length
 FROM (SELECT *, json_extract_string(props, '$.k')::INT AS k FROM e) GROUP BY step""")
 def step_metrics(t):
@@ -68,7 +68,7 @@ def _steps(t):
     return stats.step_metrics(rows, "step", "lengths", (F.col("event_type") == "purchase").cast("long"))
 
 
-@query(_STEP_SQL + """, m AS (SELECT step, count_if(event_type = 'purchase') / count(*) AS accuracy FROM e GROUP BY step)
+@query(_STEP_SQL + """, m AS (SELECT step, count(*) FILTER (event_type = 'purchase') / count(*) AS accuracy FROM e GROUP BY step)
 SELECT round(regr_slope(accuracy, step), 8) AS slope, round(regr_intercept(accuracy, step), 8) AS intercept, round(avg(accuracy), 8) AS mean, round(arg_max(accuracy, step), 8) AS final FROM m""")
 def step_trend(t):
     out = stats.trend(_steps(t), "step", "accuracy")
@@ -117,7 +117,7 @@ def needs_label(t):
     return stats.needs_label(rows, "is_root", "quality").select("doc_id", "lang")
 
 
-@query("""SELECT o_orderpriority, count(*) AS total, count_if(o_orderstatus = 'F') AS failed, count_if(o_orderstatus <> 'F') AS completed, list_sort(list(o_orderkey) FILTER (o_orderstatus = 'F' AND o_orderkey % 50 = 0))[:3] AS first_failed FROM orders GROUP BY o_orderpriority""")
+@query("""SELECT o_orderpriority, count(*) AS total, count(*) FILTER (o_orderstatus = 'F') AS failed, count(*) FILTER (o_orderstatus <> 'F') AS completed, list_sort(list(o_orderkey) FILTER (o_orderstatus = 'F' AND o_orderkey % 50 = 0))[:3] AS first_failed FROM orders GROUP BY o_orderpriority""")
 def failures_by_category(t):
     rows = t("orders")
     counts = stats.failures(rows, ["o_orderpriority"], F.col("o_orderstatus") == "F", ["o_orderkey"], "o_orderkey").drop("failed_items")
@@ -126,7 +126,7 @@ def failures_by_category(t):
     return counts.join(first, "o_orderpriority", "left").select("o_orderpriority", "total", "failed", "completed", "first_failed")
 
 
-@query("""SELECT url_host AS project, count(*) AS total_pages, count_if(ok) AS succeeded, count_if(NOT ok) AS failed, round(count_if(ok) / greatest(count(*), 1) * 100, 4) AS rate
+@query("""SELECT url_host AS project, count(*) AS total_pages, count(*) FILTER (ok) AS succeeded, count(*) FILTER (NOT ok) AS failed, round(count(*) FILTER (ok) / greatest(count(*), 1) * 100, 4) AS rate
 FROM (SELECT regexp_extract(url, '^https?://([^/?#]+)', 1) AS url_host, length(html) > 3000 AS ok FROM pages) GROUP BY 1""")
 def page_success_rates(t):
     rows = t("pages").select(F.try_parse_url("url", F.lit("HOST")).alias("project"), F.when(F.length("html") > 3000, "success").otherwise("error").alias("crawl_status"))
@@ -134,7 +134,7 @@ def page_success_rates(t):
 
 
 @query("""SELECT c_mktsegment, total, succeeded, failed, rate FROM (
-  SELECT c_mktsegment, count(*) AS total, count_if(c_acctbal > 1e9) AS succeeded, count_if(NOT c_acctbal > 1e9) AS failed, round(count_if(c_acctbal > 1e9) / count(*) * 100, 4) AS rate FROM customer GROUP BY 1) WHERE rate = 0""")
+  SELECT c_mktsegment, count(*) AS total, count(*) FILTER (c_acctbal > 1e9) AS succeeded, count(*) FILTER (NOT c_acctbal > 1e9) AS failed, round(count(*) FILTER (c_acctbal > 1e9) / count(*) * 100, 4) AS rate FROM customer GROUP BY 1) WHERE rate = 0""")
 def zero_success(t):
     return stats.zero_success(stats.success_rate(t("customer"), ["c_mktsegment"], F.col("c_acctbal") > 1e9), "rate")
 

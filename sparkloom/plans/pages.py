@@ -35,7 +35,7 @@ def url_blacklist_regex(t):
 
 
 @query(r"""WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1)) AS anchor FROM pages)
-SELECT page_id, count(*) AS n_links, count_if(w IS NOT NULL) AS n_kept, min(w) AS least_word FROM (
+SELECT page_id, count(*) AS n_links, count(*) FILTER (w IS NOT NULL) AS n_kept, min(w) AS least_word FROM (
   SELECT page_id, CASE WHEN contains(lower(anchor), 'the') THEN 'the' WHEN contains(lower(anchor), 'and') THEN 'and' WHEN contains(lower(anchor), 'que') THEN 'que' END AS w FROM a) GROUP BY page_id""")
 def anchor_whitelist(t):
     anchors = t("pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('<a href="[^"]*">([^<]*)</a>'), 1)).alias("anchor"))

@@ -42,7 +42,7 @@ def curriculum_score(t):
     return out.select("doc_id", "course_count", "credit_mentions", "keyword_matches", "score", "threshold", "is_curriculum", "level")
 
 
-@query(_SCORE_SQL + " SELECT round(count_if(score >= threshold) / greatest(count(*), 1) * 100, 4) AS curriculum_rate, count(*) AS n FROM scored")
+@query(_SCORE_SQL + " SELECT round(count(*) FILTER (score >= threshold) / greatest(count(*), 1) * 100, 4) AS curriculum_rate, count(*) AS n FROM scored")
 def curriculum_rate(t):
     out = scoring.curriculum_score(t("documents").select("doc_id", "text"), "text", rules=_RULES)
     return out.agg(F.round(F.count_if("is_curriculum") / F.greatest(F.count("*"), F.lit(1)) * 100, 4).alias("curriculum_rate"), F.count("*").alias("n"))
@@ -69,7 +69,7 @@ def threshold_sweep(t):
 
 _SWEEP_SQL = """WITH s AS (SELECT doc_id, (length(text) % 1000) / 1000.0::DOUBLE * 0.5 + quality * 0.4 AS score, quality AS label FROM documents JOIN labels USING (doc_id)),
 grid AS (SELECT unnest(generate_series(10, 89)) / 100.0::DOUBLE AS threshold),
-c AS (SELECT threshold, count_if(score >= threshold AND label = 1) AS tp, count_if(score >= threshold AND label = 0) AS fp, count_if(score < threshold AND label = 1) AS fn, count_if(score < threshold AND label = 0) AS tn FROM grid, s GROUP BY threshold),
+c AS (SELECT threshold, count(*) FILTER (score >= threshold AND label = 1) AS tp, count(*) FILTER (score >= threshold AND label = 0) AS fp, count(*) FILTER (score < threshold AND label = 1) AS fn, count(*) FILTER (score < threshold AND label = 0) AS tn FROM grid, s GROUP BY threshold),
 r AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS "precision", CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall, (tp + tn) / (tp + fp + fn + tn) AS accuracy FROM c)"""
 
 
@@ -100,7 +100,7 @@ def _predicted(t):
 
 
 @query(f"""WITH {_PREDICTED_SQL}, k AS (SELECT unnest([0, 1]) AS class),
-c AS (SELECT class, count_if(label = class) AS support, count_if(prediction = class) AS said, count_if(label = class AND prediction = class) AS tp FROM k, p GROUP BY class),
+c AS (SELECT class, count(*) FILTER (label = class) AS support, count(*) FILTER (prediction = class) AS said, count(*) FILTER (label = class AND prediction = class) AS tp FROM k, p GROUP BY class),
 r AS (SELECT *, CASE WHEN said > 0 THEN tp / said ELSE 0.0 END AS "precision", CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM c)
 SELECT class, support::BIGINT AS support, round("precision", 6) AS "precision", round(recall, 6) AS recall, round(CASE WHEN "precision" + recall > 0 THEN 2 * "precision" * recall / ("precision" + recall) ELSE 0 END, 6) AS f1 FROM r""")
 def class_report(t):
@@ -108,7 +108,7 @@ def class_report(t):
     return out.select("class", "support", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
 
 
-@query(f"WITH {_PREDICTED_SQL} SELECT lang, count_if(prediction = 1 AND label = 1) AS tp, count_if(prediction = 1 AND label = 0) AS fp, count_if(prediction = 0 AND label = 1) AS fn, count_if(prediction = 0 AND label = 0) AS tn FROM p GROUP BY lang")
+@query(f"WITH {_PREDICTED_SQL} SELECT lang, count(*) FILTER (prediction = 1 AND label = 1) AS tp, count(*) FILTER (prediction = 1 AND label = 0) AS fp, count(*) FILTER (prediction = 0 AND label = 1) AS fn, count(*) FILTER (prediction = 0 AND label = 0) AS tn FROM p GROUP BY lang")
 def confusion_by_lang(t):
     return scoring.confusion(_predicted(t), "prediction", "label", ["lang"]).select("lang", "tp", "fp", "fn", "tn")
 

@@ -239,4 +239,4 @@ FROM orders, (SELECT unnest([1, 2]) AS i)""")
 def zip_positions(t):
     rows = t("orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
     out = reshape.zip_explode(rows, F.split("o_orderpriority", "-"), F.array("o_orderstatus"), ("left_part", "right_part"))
-    return out.select("o_orderkey", F.col("position").cast("long").alias("position"), "left_part", "right_part")
+    return out.select("o_orderkey", "position", "left_part", "right_part")
