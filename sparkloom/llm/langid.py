@@ -18,10 +18,12 @@ input columns of the same name.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,7 +86,7 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def fit(texts: list[str], labels: list[str], *, epochs: int = 8, rate: float = 8.0, seed: int = 7, keep: float = 0.995) -> LanguageModel | None:
+def fit(texts: list[str], labels: list[str], *, epochs: int = 8, rate: float = 8.0, seed: int = 7, keep: float = 0.999) -> LanguageModel | None:
     """Train on the texts given; one in five is set aside for temperature and rejection."""
     languages = sorted(set(labels))
     if not languages:
@@ -125,11 +127,11 @@ def fit(texts: list[str], labels: list[str], *, epochs: int = 8, rate: float = 8
     grid = np.geomspace(0.02, 20, 60)
     loss = [-np.log(np.maximum(softmax(z / t)[np.arange(len(held)), y[held]], 1e-12)).mean() for t in grid]
     model.temperature = float(grid[int(np.argmin(loss))])
-    # reject below the score that all but 1 - keep of the right predictions reach, and never above one half
+    # reject below the score that all but 1 - keep of the right predictions reach, and never above 0.4
     p = softmax(z / model.temperature)
     right = np.sort(p.max(axis=1)[p.argmax(axis=1) == y[held]])
     if len(right):
-        model.reject_below = float(min(0.5, right[int((1 - keep) * (len(right) - 1))]))
+        model.reject_below = float(min(0.4, right[int((1 - keep) * (len(right) - 1))]))
     return model
 
 
@@ -147,8 +149,14 @@ def train(rows: DataFrame, *, text: str = "text", lang: str = "lang", id_column:
     wanted = F.lit(False)
     for r in top:
         wanted = wanted | ((F.col("lang") == r["lang"]) & (draw < min(1.0, max(sample_rows / r["n"], 1e-9), sample_bytes / max(r["bytes"], 1))))
-    drawn = sorted(((r["lang"], r["id"] or "", r["text"]) for r in rows.where(wanted).collect()))
-    return fit([t for _, _, t in drawn], [name for name, _, _ in drawn], seed=seed)
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        drawn = sorted((name, i or "", t) for f in frames for name, i, t in zip(f["lang"], f["id"], f["text"], strict=True))
+        if drawn:
+            yield pd.DataFrame({"model": [pickle.dumps(fit([t for _, _, t in drawn], [name for name, _, _ in drawn], seed=seed))]})
+
+    # the sample is bounded, so that one task holds it; the model alone comes to the driver
+    found = rows.where(wanted).select("lang", "id", "text").repartition(1).mapInPandas(run, "model binary").first()
+    return pickle.loads(bytes(found["model"])) if found else None
 
 
 def identify(docs: DataFrame, model: LanguageModel | None, *, text: str = "text") -> DataFrame:
