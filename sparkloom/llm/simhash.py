@@ -231,7 +231,8 @@ def through_centres(crowd: DataFrame, max_bits: int) -> DataFrame:
     hub = rows.where("inner").groupBy("centre").agg(F.min("fp").alias("b"), F.count("*").alias("n"))
     if outer == inner:
         hub = hub.where("n > 1")
-    return rows.join(hub, "centre").where("fp <> b").select(F.greatest("fp", "b").alias("a"), F.least("fp", "b").alias("b")).distinct()
+    # Spark sizes both sides before the explode; a merge join is right whatever comes of it
+    return rows.hint("merge").join(hub.hint("merge"), "centre").where("fp <> b").select(F.greatest("fp", "b").alias("a"), F.least("fp", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 2, parts: int = 3, dense: int = 64) -> DataFrame:
