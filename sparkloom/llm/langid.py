@@ -33,6 +33,8 @@ from .runtime import LOWER, utf8_slices
 BUCKETS = 1 << 16
 GRAMS = (1, 2, 3, 4)
 DIM = 16
+#: Bytes looked at together.
+SLICE = 1 << 20
 
 
 @dataclass
@@ -46,10 +48,8 @@ class LanguageModel:
     reject_below: float
 
 
-def gram_ids(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket of each byte n-gram that lies within one row, and how many each row has.
-
-    They come row by row: all sizes of the first row, then those of the next."""
+def gram_ids(data: np.ndarray, offsets: np.ndarray, before: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and row of each byte n-gram that lies within one row (and starts ``before`` that byte)."""
     low = LOWER[data].astype(np.uint32)
     n, lengths = len(low), np.diff(offsets)
     end = np.repeat(offsets[1:], lengths)
@@ -61,6 +61,8 @@ def gram_ids(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
             break
         h = (h[: n - size + 1] ^ low[size - 1 :]) * np.uint32(16777619)
         inside = place[: n - size + 1] + size <= end[: n - size + 1]
+        if before is not None:
+            inside[before:] = False
         if size in GRAMS:
             x = h[inside]
             parts.append(((x ^ (x >> np.uint32(15))) * np.uint32(2654435761)) >> np.uint32(16))
@@ -71,7 +73,14 @@ def gram_ids(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def row_logits(model: LanguageModel, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The linear layer's output for each row, before the temperature."""
+    """The linear layer's output for each row, before the temperature; a row longer than a slice goes in parts."""
+    if len(offsets) == 2 and len(data) > SLICE:
+        total, count = np.zeros(len(model.languages)), 0
+        for at in range(0, len(data), SLICE):
+            part = data[at : at + SLICE + max(GRAMS) - 1]
+            ids, _ = gram_ids(part, np.array([0, len(part)]), SLICE)
+            total, count = total + model.table[ids].sum(axis=0, dtype=np.float64), count + len(ids)
+        return (total / max(count, 1) + model.bias)[None]
     ids, rows = gram_ids(data, offsets)
     k = len(offsets) - 1
     counts = np.maximum(np.bincount(rows, minlength=k), 1)
@@ -171,7 +180,7 @@ def identify(docs: DataFrame, model: LanguageModel | None, *, text: str = "text"
             best, score = np.zeros(len(column), np.int64), np.zeros(len(column))
             letters = np.array(batch.column(batch.schema.get_field_index("_letters")).to_pylist(), bool)
             if model is not None:
-                for first, last, data, offsets in utf8_slices(column):
+                for first, last, data, offsets in utf8_slices(column, SLICE):
                     p = softmax(row_logits(model, data, offsets) / model.temperature)
                     best[first:last], score[first:last] = p.argmax(axis=1), p.max(axis=1)
             else:
