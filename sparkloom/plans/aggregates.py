@@ -69,10 +69,10 @@ def _steps(t):
 
 
 @query(_STEP_SQL + """, m AS (SELECT step, count(*) FILTER (event_type = 'purchase') / count(*) AS accuracy FROM e GROUP BY step)
-SELECT round(regr_slope(accuracy, step), 8) AS slope, round(regr_intercept(accuracy, step), 8) AS intercept, round(avg(accuracy), 8) AS mean, round(arg_max(accuracy, step), 8) AS final FROM m""")
+SELECT round(regr_slope(accuracy, step), 6) AS slope, round(regr_intercept(accuracy, step), 6) AS intercept, round(avg(accuracy), 6) AS mean, round(arg_max(accuracy, step), 6) AS final FROM m""")
 def step_trend(t):
     out = stats.trend(_steps(t), "step", "accuracy")
-    return out.select(*[F.round(c, 8).alias(c) for c in out.columns])
+    return out.select(*[F.round(c, 6).alias(c) for c in out.columns])
 
 
 @query("""SELECT event_id, last_value(CASE WHEN event_type = 'view' THEN value END IGNORE NULLS) OVER w AS last_view, last_value(CASE WHEN event_type = 'error' THEN event_id END IGNORE NULLS) OVER w AS last_error

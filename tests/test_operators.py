@@ -38,7 +38,7 @@ def test_columns(spark):
 
 def test_resolve_layers(spark):
     names = spark.createDataFrame([(1, "University College London"), (2, "Harvard University"), (3, "Nanyang Technological University"), (4, "harvard university")], "row_id int, name string")
-    asked = ["ucl", "UCL", "HARVARD university", "The London College", "nanyang tech", "harvard universitx", "zzz", None, " "]
+    asked = ["ucl", "UCL", "HARVARD university", "The London College", "nanyang tech", "harvart university", "zzz", None, " "]
     df = spark.createDataFrame([(i, q) for i, q in enumerate(asked)], "i int, query string")
     aliases = spark.createDataFrame([("UCL", "University College London"), ("zzz", "nobody")], "alias string, target string")
     out = resolve.resolve(df, names, aliases=aliases, rules=[(r"\bnanyang\b", "Nanyang Technological University")], fuzzy_threshold=0.85)
