@@ -16,8 +16,9 @@ stands lie in runs of one anchor.
    judged, and to the texts.
 
 An anchor with more than ``crowd`` different runs (a line that very many texts share, each in other
-surroundings) isn't gathered: its passages are counted by a 128-bit hash each, which combines before the
-shuffle and gives the same answer.
+surroundings) isn't gathered as it is.  Its runs are cut to spans of starts at fixed distances from the anchor,
+and the bytes that all passages of a span share, up to ``length`` of them, become a longer anchor.  Such anchors go through
+steps 2 to 4 in turn; spans shrink until, at one start, equal anchors are equal passages and fall together.
 
 Texts count as their UTF-8 bytes; nulls are empty; passages don't cross texts.  Order for ``keep="first"`` is the
 id's, and then the place.  Rows whose ids are null or repeated are told apart by a row number on a checkpointed copy
@@ -210,6 +211,9 @@ def row_numbers(docs: DataFrame, id_column: str) -> tuple[DataFrame, bool]:
     return checkpointed(docs.orderBy(id_column).withColumn("row", F.monotonically_increasing_id())).where("row is not null"), False
 
 
+#: Starts in a span, step by step, where an anchor is met in too many surroundings.
+SPANS = (24, 1)
+KEY = 0x5DEECE66D
 RANGES = "array<struct<a:int,b:int>>"
 _RANGE = pa.list_(pa.struct([pa.field("a", pa.int32()), pa.field("b", pa.int32())]))
 
@@ -243,21 +247,37 @@ def repeated_ranges(rows: DataFrame, *, length: int = 400, gram: int = 64, keep:
         raise ValueError("gram must be 8 to half the length, keep none or first")
     crowd = min(crowd, ((1 << PLACE_BITS) - CHUNK_BYTES) // (2 * length) - 1)
     runs = repeats(rows.select("row", "text"), length, gram)
-    often = runs.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    spans = _judged(rows, runs.withColumn("n", F.lit(1).cast("long")), length, gram, keep, crowd, SPANS)
+    spans = spans.select("row", "pos", F.inline("own"))
+    return spans.groupBy("row").agg(F.collect_list(F.struct((F.col("pos") + F.col("a")).alias("s"), (F.col("pos") + F.col("b") + length).alias("e"))).alias("spans"))
+
+
+def _judged(rows: DataFrame, runs: DataFrame, length: int, gram: int, keep: str, crowd: int, spans: tuple[int, ...], parents: tuple[str, ...] = ()) -> DataFrame:
+    """(row, pos, parents..., own): ranges of repeated starts, from the anchor, of each run that has some.
+
+    runs: row, pos, lo, hi, h, fp, n (equal runs that a row stands for) and the parents' columns.  Runs of texts are
+    checkpointed once they are few.  Runs of spans stay in the plan, so that its joins with the texts share one shuffle."""
+    top = not parents
+    columns = ["row", "pos", "lo", "hi", "n", *parents, F.col("h").bitwiseXOR(F.col("fp")).alias("x"), "fp"]
+    if top:
+        # the key is changed to and fro, so that Spark deals the join's left side by itself and can split a hot anchor
+        often = runs.groupBy(F.col("h").bitwiseXOR(F.lit(KEY)).alias("k")).agg(F.count("*").alias("all")).where("all > 1").select(F.col("k").bitwiseXOR(F.lit(KEY)).alias("h"))
+        shared = checkpointed(runs.join(often, "h", "left_semi").select(columns))
+    else:
+        shared = runs.select(columns)
     # h and fp are told by (x, fp); grouping on these deals the runs of one anchor over many tasks
-    shared = checkpointed(runs.join(often, "h", "left_semi").select("row", "pos", "lo", "hi", F.col("h").bitwiseXOR(F.col("fp")).alias("x"), "fp"))
-    distinct = shared.groupBy("x", "fp").agg(F.min(F.struct("row", "pos", "lo", "hi")).alias("r"), F.count("*").alias("n"))
-    distinct = checkpointed(distinct.select(F.col("x").bitwiseXOR(F.col("fp")).alias("h"), "fp", "r.*", "n"))
-    crowds = distinct.groupBy("h").count().where(F.col("count") > crowd).select("h")
-    marks = _by_suffixes(rows, distinct.join(crowds, "h", "left_anti"), length, keep)
-    if not crowds.isEmpty():
-        marks = marks.union(_by_hashes(rows, distinct.join(crowds, "h", "left_semi"), length, keep))
+    distinct = shared.groupBy("x", "fp").agg(F.min(F.struct("row", "pos", "lo", "hi")).alias("r"), F.sum("n").alias("n"))
+    distinct = distinct.select(F.col("x").bitwiseXOR(F.col("fp")).alias("h"), "fp", "r.*", "n")
+    distinct = checkpointed(distinct) if top else distinct
+    groups = distinct.groupBy("h").agg(F.count("*").alias("different"), F.sum("n").alias("all")).where("all > 1").select("h", "different")
+    sized = distinct.join(groups, "h")
+    marks = _by_suffixes(rows, sized.where(F.col("different") <= crowd), length, keep)
+    if spans and not (top and groups.where(F.col("different") > crowd).isEmpty()):
+        marks = marks.union(_by_spans(rows, sized.where(F.col("different") > crowd), length, gram, keep, crowd, spans))
     marks = marks.select(F.col("h").bitwiseXOR(F.col("fp")).alias("x"), "fp", F.col("row").alias("row0"), F.col("pos").alias("pos0"), "own")
-    judged_runs = shared.join(marks, ["x", "fp"])
     whole = F.array(F.struct((F.col("lo") - F.col("pos")).alias("a"), (F.col("hi") - F.col("pos")).alias("b")))
     first = (F.col("row") == F.col("row0")) & (F.col("pos") == F.col("pos0"))
-    spans = judged_runs.select("row", "pos", F.inline(F.when(first, F.col("own")).otherwise(whole)))
-    return spans.groupBy("row").agg(F.collect_list(F.struct((F.col("pos") + F.col("a")).alias("s"), (F.col("pos") + F.col("b") + length).alias("e"))).alias("spans"))
+    return shared.join(marks, ["x", "fp"]).select("row", "pos", *parents, F.when(first, F.col("own")).otherwise(whole).alias("own")).where(F.size("own") > 0)
 
 
 def _listed(rows: DataFrame, runs: DataFrame) -> DataFrame:
@@ -304,26 +324,35 @@ def _by_suffixes(rows: DataFrame, runs: DataFrame, length: int, keep: str) -> Da
     return bodies.repartition("h").sortWithinPartitions("h", "row", "pos").mapInArrow(judge, f"h long, fp long, row long, pos int, own {RANGES}")
 
 
-def _by_hashes(rows: DataFrame, runs: DataFrame, length: int, keep: str) -> DataFrame:
-    """As _by_suffixes, for anchors with a crowd of different runs: one row for each start, counted by hash."""
+def _by_spans(rows: DataFrame, runs: DataFrame, length: int, gram: int, keep: str, crowd: int, spans: tuple[int, ...]) -> DataFrame:
+    """As _by_suffixes, for anchors with a crowd of different runs, by longer anchors for spans of their starts."""
+    span = spans[0]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
 
-    def starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found() -> Iterator[tuple]:
+        def parts() -> Iterator[tuple]:
             for x, row, body in _fetch(batches, length):
-                for i in range(len(body) - length + 1):
-                    digest = xxhash.xxh3_128_digest(body[i : i + length])
-                    yield int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True), x["h"], x["fp"], x["n"], row, x["pos"], x["lo"] - x["pos"] + i
-
-        yield from _batched(found(), ["w1", "w2", "h", "fp", "n", "row", "pos", "at"], [pa.int64()] * 6 + [pa.int32()] * 2)
-
-    each = _listed(rows, runs).mapInArrow(starts, "w1 long, w2 long, h long, fp long, n long, row long, pos int, at int")
-    least = each.groupBy("w1", "w2").agg(F.sum("n").alias("all"), F.min(F.struct("row", F.col("pos") + F.col("at"))).alias("first")).where("all > 1")
-    met = each.join(least, ["w1", "w2"])
-    if keep == "first":
-        met = met.where(F.struct("row", F.col("pos") + F.col("at")) != F.col("first"))
-    ranges_ = met.groupBy("h", "fp", "row", "pos", "n").agg(F.sort_array(F.collect_list(F.struct(F.col("at").alias("a"), F.col("at").alias("b")))).alias("own"))
-    kept = runs.select("h", "fp", "row", "pos", "n").join(ranges_.select("h", "fp", "own"), ["h", "fp"], "left")
-    return kept.where("own is not null or n > 1").select("h", "fp", "row", "pos", F.coalesce("own", F.array().cast(RANGES)).alias("own"))
+                low, pos = x["lo"], x["pos"]
+                for j in range((low - pos + length) // span, (x["hi"] - pos + length) // span + 1):
+                    begin = pos - length + j * span  # the span's starts, in the text: begin to begin + span - 1
+                    a, b = max(low, begin), min(x["hi"], begin + span - 1)
+                    common = body[begin + span - 1 - low : begin + length - low]
+                    yield row, pos, a, b, _signed(digest(common, j)), _signed(digest(body[a - low : b + length - low], a - pos & 0xFFFFFFFF)), x["n"], x["h"], x["fp"]
+
+        yield from _batched(parts(), ["row", "pos", "lo", "hi", "h", "fp", "n", "h0", "fp0"], [pa.int64()] + [pa.int32()] * 3 + [pa.int64()] * 5)
+
+    each = _listed(rows, runs).mapInArrow(cut, "row long, pos int, lo int, hi int, h long, fp long, n long, h0 long, fp0 long")
+    found = _judged(rows, each, length, gram, keep, crowd, spans[1:], ("h0", "fp0"))
+    found = found.select("h0", "fp0", F.explode("own").alias("r")).groupBy("h0", "fp0").agg(F.sort_array(F.collect_list("r")).alias("own"))
+    found = found.withColumnsRenamed({"h0": "h", "fp0": "fp"})
+    own = F.coalesce("own", F.array().cast(RANGES))
+    kept = runs.join(found, ["h", "fp"], "left").where("own is not null or n > 1")
+    return kept.select("h", "fp", "row", "pos", own.alias("own"))
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
 def remove_repeats(docs: DataFrame, *, id_column: str = "doc_id", text: str = "text", length: int = 400, gram: int = 64, keep: str = "none", crowd: int = 512, with_text: bool = False) -> DataFrame:
