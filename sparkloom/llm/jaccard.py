@@ -1,0 +1,152 @@
+"""Near-duplicates by the exact Jaccard similarity of word shingles; MinHash bands find the candidates.
+
+Texts with the same words (case of A to Z and spacing aside) collapse to one row first.  Each text gets ``bands``
+hashes of ``rows`` minima each; two texts of similarity s agree in one band with probability s ** rows, so with 20
+bands of 4 a pair at 0.8 is missed with a probability of about 3 in 100,000.  Candidates are confirmed by the exact
+similarity of their shingle sets in a join.
+
+A bucket of more than ``dense`` texts isn't expanded to pairs.  Its members are compared with ``PIVOTS`` of them; those
+that have found no link go on to a further round, in buckets of one more band.  Two members that are each linked to
+different pivots, and to one another, are met in other bands only.
+
+Nulls and odd input: null or blank texts are equal to each other; texts with fewer words than a shingle are one shingle;
+repeated rows and repeated or null ids are kept as rows (a component whose ids are all null has a null id).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .components import connected_components
+from .runtime import LOWER, NOT_BLANK, checkpointed, mix, runs, utf8_slices, word_hashes
+
+PIVOTS = 8
+STEP = np.uint64(0xD6E8FEB86659FD93)
+
+
+def shingles(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, hash) of each row's distinct shingles, sorted by both, and a hash of each row's words."""
+    data, n = LOWER[data], len(offsets) - 1
+    starts, ends = runs(NOT_BLANK[data], offsets)
+    words = word_hashes(data, starts, ends) if len(starts) else np.zeros(0, np.uint64)
+    row = np.searchsorted(offsets, starts, "right") - 1
+    count = np.bincount(row, minlength=n)
+    last = np.cumsum(count)
+    first = last - count
+    at = np.arange(len(words))
+    total, power = np.zeros(len(words), np.uint64), np.uint64(1)
+    for j in range(size):  # words beyond the row's end count as 0
+        inside = at + j < last[row]
+        total[inside] += words[at[inside] + j] * power
+        power = power * STEP
+    whole = (at + size <= last[row]) | ((at == first[row]) & (count[row] < size))
+    row_, h = row[whole], mix(total[whole])
+    order = np.lexsort((h, row_))
+    row_, h = row_[order], h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (row_[1:] != row_[:-1]) | (h[1:] != h[:-1])
+    keys = np.zeros(n, np.uint64)
+    np.add.at(keys, row, mix(words ^ mix((at - first[row]).astype(np.uint64) + STEP)))
+    return row_[new], h[new], mix(keys + count.astype(np.uint64))
+
+
+def minima(row: np.ndarray, h: np.ndarray, n: int, bands: int, rows: int) -> np.ndarray:
+    """(n, bands) hashes of the minima; 0 for rows without a shingle."""
+    factors = np.random.default_rng(42).integers(0, 1 << 63, bands * rows, np.uint64) << np.uint64(1) | np.uint64(1)
+    out = np.zeros((n, bands), np.uint64)
+    if len(h):
+        at = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+        for b in range(bands):
+            value = np.zeros(len(at), np.uint64)
+            for k in range(b * rows, (b + 1) * rows):
+                value = mix(value + STEP + np.minimum.reduceat(h * factors[k], at))
+            out[row[at], b] = value
+    return out
+
+
+def _mapped(chosen: DataFrame, schema, make) -> DataFrame:
+    """chosen: any columns and a text at the end, in whose place ``make`` puts other columns, slice by slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, data, offsets in utf8_slices(batch.column(batch.num_columns - 1)):
+                yield pa.RecordBatch.from_arrays([*(c.slice(first, last - first) for c in batch.columns[:-1]), *make(data, offsets)], names=schema.names)
+
+    return chosen.mapInArrow(run, schema)
+
+
+def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(values.view(np.int64)))
+
+
+def _typed(chosen: DataFrame, **columns: str):
+    return chosen.select(*chosen.columns[:-1], *[F.lit(None).cast(t).alias(c) for c, t in columns.items()]).schema
+
+
+def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text: str = "text", shingle: int = 5, least: float = 0.8, bands: int = 20, rows: int = 4, dense: int = 64) -> DataFrame:
+    """One row per input row: the id and component_id, the smallest id that can be reached over links of a
+    similarity of at least ``least``."""
+    chosen = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
+
+    def signed(data, offsets):
+        row, h, key = shingles(data, offsets, shingle)
+        found = minima(row, h, len(key), bands, rows)
+        return pa.array(key.view(np.int64)), _lists(found.ravel(), np.full(len(key), bands))
+
+    def named(data, offsets):
+        n = len(offsets) - 1
+        texts = pa.Array.from_buffers(pa.string(), n, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+        return pa.array(shingles(data, offsets, shingle)[2].view(np.int64)), texts
+
+    def sets(data, offsets):
+        row, h, _ = shingles(data, offsets, shingle)
+        return (_lists(h, np.bincount(row, minlength=len(offsets) - 1)),)
+
+    marks = checkpointed(_mapped(chosen, _typed(chosen, key="long", bands="array<long>"), signed))
+    distinct = checkpointed(marks.groupBy("key").agg(F.min("id").alias("least"), F.any_value("bands").alias("bands")))
+    texts = chosen.select("text")
+    texts = _mapped(texts, _typed(texts, key="long", text="string"), named).groupBy("key").agg(F.any_value("text").alias("text"))
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        pairs = checkpointed(pairs.distinct())
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+        found = texts.join(wanted, "key", "left_semi").select("key", "text")
+        found = checkpointed(_mapped(found, _typed(found, words="array<long>"), sets))
+        both = pairs.join(found.select(F.col("key").alias("a"), F.col("words").alias("x")), "a").join(found.select(F.col("key").alias("b"), F.col("words").alias("y")), "b")
+        shared = F.size(F.array_intersect("x", "y"))
+        return checkpointed(both.where(shared >= least * (F.size("x") + F.size("y") - shared)).select("a", "b"))
+
+    blank = F.col("bands")[0] == 0
+    todo = distinct.where(~blank).select("key", F.posexplode("bands").alias("band", "value")).select("key", F.xxhash64("band", "value").alias("bucket"))
+    edges = None
+    while True:
+        todo = checkpointed(todo)
+        size = todo.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+        few, many = size.where(F.col("n") <= dense).select("bucket"), size.where(F.col("n") > dense).select("bucket")
+        small = todo.join(few, "bucket", "left_semi")
+        pairs = small.select("bucket", F.col("key").alias("a")).join(small.select("bucket", F.col("key").alias("b")), "bucket").where("a < b").select("a", "b")
+        crowd = checkpointed(todo.join(many, "bucket", "left_semi"))
+        last = crowd.isEmpty()
+        if not last:
+            turn = F.xxhash64("key", "bucket")
+            pivots = checkpointed(crowd.groupBy("bucket", F.pmod(turn, F.lit(PIVOTS)).alias("_turn")).agg(F.min_by("key", turn).alias("pivot")).select("bucket", "pivot"))
+            met = crowd.join(pivots, "bucket").where("key <> pivot")
+            pairs = pairs.union(met.select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b")))
+        new = confirmed(pairs)
+        edges = new if edges is None else edges.union(new)
+        if last:
+            break
+        done = new.select(F.explode(F.array("a", "b")).alias("key")).union(pivots.select("pivot")).distinct()
+        left = crowd.join(done, "key", "left_anti").join(distinct.select("key", F.explode("bands").alias("value")), "key")
+        todo = left.select("key", F.xxhash64("bucket", "value").alias("bucket")).distinct()
+    found = connected_components(edges)
+    labelled = distinct.join(found.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    firsts = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
+    labels = labelled.join(firsts, "component").select("key", "component_id")
+    return marks.join(labels, "key").select(F.col("id").alias(id_column), "component_id")

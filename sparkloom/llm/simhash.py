@@ -252,7 +252,11 @@ def drop_near_duplicates(docs: DataFrame, *, id_column: str = "doc_id", text: st
     """Keep one row of each group: that with the smallest id; of rows with that same id, the first text in order.
 
     A row with a null id can't be named by a decision and stays.  All columns stay as they are."""
-    marks = near_duplicates(docs, id_column=id_column, text=text, **options)
+    return keep_least(docs, near_duplicates(docs, id_column=id_column, text=text, **options), id_column=id_column, text=text)
+
+
+def keep_least(docs: DataFrame, marks: DataFrame, *, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows that drop_near_duplicates keeps, by the component_id of each id in ``marks``."""
     marks = marks.where(F.col(id_column) == F.col("component_id")).groupBy(F.col(id_column).alias("_kept")).agg(F.count("*").alias("_n"))
     marks = checkpointed(marks)
     kept = docs.join(marks.select("_kept"), docs[id_column] == F.col("_kept"), "left_semi")
