@@ -52,6 +52,25 @@ def failures(df: DataFrame, keys: list[str], bad: Column, detail: list[str], ord
     return df.groupBy(*keys).agg(F.count("*").alias("total"), F.count_if(~bad).alias("completed"), F.count_if(bad).alias("failed"), F.array_sort(F.collect_list(F.when(bad, item))).alias("failed_items"))
 
 
+def failed_rows(df: DataFrame, bad: Column) -> DataFrame:
+    """All failed rows, as rows: a key's failures may be too many for an array."""
+    return df.where(bad)
+
+
+def first_failures(df: DataFrame, keys: list[str], bad: Column, item: str, n: int = 3) -> DataFrame:
+    """(keys, total, completed, failed, first_failed: the n smallest items of all failed rows of the key, null if none failed).
+
+    Rows of a key are dealt to slices by their item first, so that a hot key isn't sorted in one task."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("total"), F.count_if(~bad).alias("completed"), F.count_if(bad).alias("failed"))
+    few = ranked_within(failed_rows(df, bad).select(*keys, item, F.pmod(F.xxhash64(item), F.lit(64)).alias("_slice")), [*keys, "_slice"], [item], n)
+    few = ranked_within(few.select(*keys, item), keys, [item], n).groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("first_failed"))
+    a, b = counts.alias("a"), few.alias("b")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
+    return a.join(b, same, "left").select("a.*", "b.first_failed")
+
+
 def failure_detail(df: DataFrame, headers: str = "headers", body: str = "body", longest: int = 200, most_headers: int = 5) -> DataFrame:
     """Cut a failed response's headers (a map) and body to a preview."""
     few = F.slice(F.map_entries(headers), 1, most_headers)

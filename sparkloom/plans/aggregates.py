@@ -126,6 +126,17 @@ def failures_by_category(t):
     return counts.join(first, "o_orderpriority", "left").select("o_orderpriority", "total", "failed", "completed", "first_failed")
 
 
+@query("""SELECT o_orderpriority, count(*) AS total, count(*) FILTER (o_orderstatus = 'F') AS failed, count(*) FILTER (o_orderstatus <> 'F') AS completed, list_sort(list(o_orderkey) FILTER (o_orderstatus = 'F'))[:3] AS first_failed FROM orders GROUP BY o_orderpriority""")
+def first_failures_by_category(t):
+    out = stats.first_failures(t("orders"), ["o_orderpriority"], F.col("o_orderstatus") == "F", "o_orderkey")
+    return out.select("o_orderpriority", "total", "failed", "completed", "first_failed")
+
+
+@query("SELECT o_orderpriority, o_orderkey FROM orders WHERE o_orderstatus = 'F'")
+def failed_items(t):
+    return stats.failed_rows(t("orders"), F.col("o_orderstatus") == "F").select("o_orderpriority", "o_orderkey")
+
+
 @query("""SELECT url_host AS project, count(*) AS total_pages, count(*) FILTER (ok) AS succeeded, count(*) FILTER (NOT ok) AS failed, round(count(*) FILTER (ok) / greatest(count(*), 1) * 100, 4) AS rate
 FROM (SELECT regexp_extract(url, '^https?://([^/?#]+)', 1) AS url_host, length(html) > 3000 AS ok FROM pages) GROUP BY 1""")
 def page_success_rates(t):

@@ -213,3 +213,11 @@ def test_streams(spark, tmp_path, sf_dir):
     q = crawl_progress(stream).writeStream.format("memory").queryName("done").outputMode("update").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp")).start()
     q.awaitTermination(120)
     assert [tuple(r) for r in spark.table("done").collect()] == [("a", 1, True)]
+
+
+def test_first_failures_of_all_rows(spark):
+    df = spark.createDataFrame([(k, i, i % 2 == 1) for k in ("a", None) for i in range(200)] + [("b", 1, False)], "k string, i long, bad boolean")
+    out = {r["k"]: r for r in stats.first_failures(df, ["k"], F.col("bad"), "i").collect()}
+    assert all(out[k]["first_failed"] == [1, 3, 5] and (out[k]["total"], out[k]["failed"], out[k]["completed"]) == (200, 100, 100) for k in ("a", None))
+    assert out["b"]["first_failed"] is None and out["b"]["failed"] == 0
+    assert stats.failed_rows(df, F.col("bad")).count() == 200
