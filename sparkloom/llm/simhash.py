@@ -21,7 +21,9 @@ ids are all null has a null id); result columns replace input columns of the sam
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import accumulate
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -75,28 +77,43 @@ def fingerprints(docs: DataFrame, *, text: str = "text", shingle: int = 3, keep:
     return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "fp")
 
 
-def bit_order(distinct: DataFrame) -> tuple[int, list[int]]:
-    """The number of fingerprints, and the 64 bits in an order that puts correlated bits side by side."""
+def table_values(batch: pa.RecordBatch, tables: int) -> np.ndarray:
+    """(rows, tables) fingerprints of a batch whose last column lists them."""
+    return batch.column(batch.num_columns - 1).flatten().to_numpy(zero_copy_only=False).reshape(-1, tables)
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, n = np.zeros((64, 64)), 0
-        for frame in frames:
-            bits = np.unpackbits(frame["fp"].to_numpy().astype(">i8").view(np.uint8).reshape(-1, 8), axis=1).astype(np.float32)
-            total += bits.T @ bits
-            n += len(bits)
+
+def bit_orders(distinct: DataFrame, tables: int) -> tuple[int, list[list[int]]]:
+    """The number of rows, and for each table the 64 bits in an order that puts correlated bits side by side.
+
+    distinct: one column fps, an array of ``tables`` fingerprints."""
+    kinds = {"t": pa.int64(), "i": pa.int64(), "j": pa.int64(), "n": pa.int64()}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = np.zeros((tables, 64, 64)), 0
+        for batch in batches:
+            values = table_values(batch, tables)
+            n += len(values)
+            for t in range(tables):
+                bits = np.unpackbits(values[:, t].astype(">i8").view(np.uint8).reshape(-1, 8), axis=1).astype(np.float32)
+                total[t] += bits.T @ bits
         if n:
-            i, j = np.indices((64, 64))
-            yield pd.DataFrame({"i": [*i.ravel(), -1], "j": [*j.ravel(), -1], "n": [*total.ravel().astype(np.int64), n]})
+            t, i, j = (x.ravel() for x in np.indices((tables, 64, 64)))
+            columns = ([*t, -1], [*i, -1], [*j, -1], [*total.ravel().astype(np.int64), n])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], names=list(kinds))
 
-    rows = distinct.select("fp").mapInPandas(count, "i long, j long, n long").groupBy("i", "j").agg(F.sum("n").alias("n")).collect()
-    joint, n = np.zeros((64, 64)), 0
+    rows = distinct.select("fps").mapInArrow(count, "t long, i long, j long, n long").groupBy("t", "i", "j").agg(F.sum("n").alias("n")).collect()
+    joint, n = np.zeros((tables, 64, 64)), 0
     for r in rows:
-        if r["i"] < 0:
+        if r["t"] < 0:
             n = r["n"]
         else:
-            joint[r["i"], r["j"]] = r["n"]
+            joint[r["t"], r["i"], r["j"]] = r["n"]
+    return n, [_correlated(x, n) for x in joint]
+
+
+def _correlated(joint: np.ndarray, n: int) -> list[int]:
     if not n:
-        return 0, list(range(64))
+        return list(range(64))
     p = joint.diagonal() / n
     spread = np.sqrt(np.maximum(p * (1 - p), 1e-12))
     tied = np.abs((joint / n - np.outer(p, p)) / np.outer(spread, spread))
@@ -106,7 +123,7 @@ def bit_order(distinct: DataFrame) -> tuple[int, list[int]]:
     while left:  # the bit most tied to the last eight taken comes next
         order.append(max(sorted(left), key=lambda b: tied[b, order[-8:]].sum()))
         left.remove(order[-1])
-    return n, order
+    return order
 
 
 def _permuted(fp: np.ndarray, order: list[int]) -> np.ndarray:
@@ -155,56 +172,95 @@ def _ball(width: int, radius: int) -> np.ndarray:
     return np.array(masks, np.uint64)
 
 
-def links(distinct: DataFrame, *, max_bits: int = 2, parts: int = 3, dense: int = 64) -> DataFrame:
+def _probes(parts: int, max_bits: int) -> np.ndarray:
+    """Words to look up in each partition at radius -1, 0, 1, ..."""
+    sizes = [8 * (e - s) for s, e in _cuts(parts)]
+    return np.array([[0.0] + [float(sum(comb(w, i) for i in range(t + 1))) if t <= w else np.inf for t in range(max_bits + 1)] for w in sizes])
+
+
+def fitting_parts(n: int, max_bits: int) -> int:
+    """The number of partitions for which looking up and comparing cost least if bits were independent."""
+    costs = {}
+    for parts in range(1, min(8, max_bits + 2) + 1):
+        probes = _probes(parts, max_bits)
+        within = n * probes / np.array([[2.0 ** (8 * (e - s))] for s, e in _cuts(parts)])
+        radii = allocate(within[None], probes, max_bits - parts + 1)[0]
+        costs[parts] = sum((within + probes)[i, t + 1] for i, t in enumerate(radii))
+    return min(costs, key=costs.get)
+
+
+@dataclass
+class Allocation:
+    """How one table of fingerprints is cut, and the counts by which each fingerprint gets its radii."""
+
+    n: int
+    max_bits: int
+    parts: int
+    order: list[int]
+    near: np.ndarray  # near[g, v, d]: share of fingerprints that differ from v in exactly d bits of byte g
+
+    def rows(self, fp: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray, bool]]:
+        """(which fingerprints, partition, word, looked up rather than listed), for at most a few thousand fingerprints."""
+        cuts, probes = _cuts(self.parts), _probes(self.parts, self.max_bits)
+        data = _permuted(fp, self.order)
+        within = np.zeros((len(fp), self.parts, self.max_bits + 2))
+        values = []
+        for i, (s, e) in enumerate(cuts):
+            exact = np.zeros((len(fp), self.max_bits + 1))
+            exact[:, 0] = 1
+            for g in range(s, e):  # distances in bytes of a partition add up
+                step = self.near[g][data[:, g]]
+                exact = np.stack([(exact[:, : d + 1] * step[:, d::-1]).sum(axis=1) for d in range(self.max_bits + 1)], axis=1)
+            within[:, i, 1:] = self.n * exact.cumsum(axis=1)
+            word = np.zeros(len(fp), np.uint64)
+            for g in range(s, e):
+                word = word << np.uint64(8) | data[:, g].astype(np.uint64)
+            values.append(word)
+        radii, every = allocate(within, probes, self.max_bits - self.parts + 1), np.arange(len(fp))
+        for i, (s, e) in enumerate(cuts):
+            yield every, i, values[i], False
+            for t in range(min(self.max_bits, 8 * (e - s)) + 1):
+                mine = np.flatnonzero(radii[:, i] == t)
+                if len(mine):
+                    masks = _ball(8 * (e - s), t)
+                    yield np.repeat(mine, len(masks)), i, (values[i][mine][:, None] ^ masks[None]).ravel(), True
+
+
+def allocations(distinct: DataFrame, tables: int, max_bits: int, parts: int | None) -> list[Allocation]:
+    """For each table its allocation, from counts over all rows.  distinct: a column fps; it is read twice."""
+    n, orders = bit_orders(distinct, tables)
+    kinds = {"t": pa.int64(), "g": pa.int64(), "v": pa.int64(), "n": pa.int64()}
+
+    def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((tables, 8, 256), np.int64)
+        for batch in batches:
+            values = table_values(batch, tables)
+            for t in range(tables):
+                for g, column in enumerate(_permuted(values[:, t], orders[t]).T):
+                    counts[t, g] += np.bincount(column, minlength=256)
+        at = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*at, counts[at])], names=list(kinds))
+
+    shares = np.zeros((tables, 8, 256))
+    for r in distinct.select("fps").mapInArrow(histogram, "t long, g long, v long, n long").groupBy("t", "g", "v").agg(F.sum("n").alias("n")).collect():
+        shares[r["t"], r["g"], r["v"]] = r["n"] / max(n, 1)
+    parts = parts or fitting_parts(n, max_bits)
+    near = lambda share: np.stack([np.stack([(DISTANCE == d) @ share[g] for d in range(max_bits + 1)], axis=1) for g in range(8)])
+    return [Allocation(n, max_bits, parts, order, near(share)) for order, share in zip(orders, shares, strict=True)]
+
+
+def links(distinct: DataFrame, *, max_bits: int = 2, parts: int | None = 3, dense: int = 64) -> DataFrame:
     """Pairs (a, b) of fingerprints that differ in at most ``max_bits`` bits, enough of them to connect all that
     are linked.  distinct: one long column fp without repeats; it is read several times (checkpoint it)."""
-    if max_bits < 0 or not 1 <= parts <= 8 or max_bits - parts + 1 < -parts:
+    if max_bits < 0 or parts is not None and (not 1 <= parts <= 8 or max_bits - parts + 1 < -parts):
         raise ValueError("max_bits must be 0 or more, parts 1 to 8")
-    n, order = bit_order(distinct)
-    cuts, total = _cuts(parts), max_bits - parts + 1
-
-    def histogram(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros((8, 256), np.int64)
-        for frame in frames:
-            for g, column in enumerate(_permuted(frame["fp"].to_numpy(), order).T):
-                counts[g] += np.bincount(column, minlength=256)
-        g, v = np.nonzero(counts)
-        yield pd.DataFrame({"g": g, "v": v, "n": counts[g, v]})
-
-    shares = np.zeros((8, 256))
-    for r in distinct.select("fp").mapInPandas(histogram, "g long, v long, n long").groupBy("g", "v").agg(F.sum("n").alias("n")).collect():
-        shares[r["g"], r["v"]] = r["n"] / max(n, 1)
-    #: near[g, v, d]: share of fingerprints that differ from v in exactly d bits of byte g
-    near = np.stack([np.stack([(DISTANCE == d) @ shares[g] for d in range(max_bits + 1)], axis=1) for g in range(8)])
-    most = [min(max_bits, 8 * (e - s)) for s, e in cuts]
-    probes = np.array([[0.0 if t < 0 else float(len(_ball(8 * (e - s), t))) if t <= most[i] else np.inf for t in range(-1, max_bits + 1)] for i, (s, e) in enumerate(cuts)])
+    (table,) = allocations(distinct.select(F.array("fp").alias("fps")), 1, max_bits, parts)
 
     def keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in frames:
             for at in range(0, len(whole), 4096):
                 fp = whole["fp"].to_numpy()[at : at + 4096]
-                data = _permuted(fp, order)
-                within = np.zeros((len(fp), parts, max_bits + 2))
-                values = []
-                for i, (s, e) in enumerate(cuts):
-                    exact = np.zeros((len(fp), max_bits + 1))
-                    exact[:, 0] = 1
-                    for g in range(s, e):  # distances in bytes of a partition add up
-                        step = near[g][data[:, g]]
-                        exact = np.stack([(exact[:, : d + 1] * step[:, d::-1]).sum(axis=1) for d in range(max_bits + 1)], axis=1)
-                    within[:, i, 1:] = n * exact.cumsum(axis=1)
-                    word = np.zeros(len(fp), np.uint64)
-                    for g in range(s, e):
-                        word = word << np.uint64(8) | data[:, g].astype(np.uint64)
-                    values.append(word)
-                radii = allocate(within, probes, total)
-                out = [(fp, i, values[i], False) for i in range(parts)]
-                for i, (s, e) in enumerate(cuts):
-                    for t in range(most[i] + 1):
-                        masks, mine = _ball(8 * (e - s), t), radii[:, i] == t
-                        if mine.any():
-                            out.append((np.repeat(fp[mine], len(masks)), i, (values[i][mine][:, None] ^ masks[None]).ravel(), True))
-                yield pd.concat([pd.DataFrame({"fp": f, "part": np.int32(i), "word": w.view(np.int64), "probe": p}) for f, i, w, p in out])
+                yield pd.concat([pd.DataFrame({"fp": fp[x], "part": np.int32(i), "word": w.view(np.int64), "probe": p}) for x, i, w, p in table.rows(fp)])
 
     rows = checkpointed(distinct.select("fp").mapInPandas(keys, "fp long, part int, word long, probe boolean"))
     index, probe = rows.where("not probe").drop("probe"), rows.where("probe").drop("probe")
