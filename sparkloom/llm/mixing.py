@@ -6,12 +6,15 @@ Poisson distribution function at that number; it is then exploded by the count a
 all partitions by a second hash.  Counts depend on the id, the seed and the rates alone, so a lost executor's
 work comes out the same again.
 
-Rates are one row for each source.  Their distribution tables stay on that small side of the join, and the
-join is by key: Spark broadcasts the side if its size is below its threshold, and else splits a hot source.
+Rates are one row for each source, written once.  If these rows and their distribution tables are few enough
+(``most_sources``, ``most_bytes``, both counted first), they are broadcast and documents aren't moved to meet them.  Beyond
+that the join is by source and a salt of the document, with each rate repeated for ``SALTS`` salts, so that a hot
+source is met in that many tasks.
 
 Nulls and odd input: a null source is a source of its own with key ''; a null text counts no characters; a null
 or repeated id draws what that id draws, in every row that has it; sources without characters have rate 0,
-unless all are so, then rate 1; an empty table gives an empty result.  Input columns named like a result are replaced.
+unless all are so, then rate 1; texts are never looked into, so their length doesn't matter; an empty table gives an
+empty result.  Input columns named rate, replica or shuffle_key are replaced, all others stay.
 """
 
 from __future__ import annotations
@@ -19,6 +22,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .runtime import checkpointed, fresh
+
+#: Tasks that a source is met in where rates are too many to broadcast.
+SALTS = 64
 #: Hex digits of the hash that make the uniform number: 52 bits, exact in a double.
 DIGITS = 13
 
@@ -63,15 +70,22 @@ def rates(docs: DataFrame, weights: DataFrame | None = None, *, source: str = "s
     return sizes.join(F.broadcast(total)).select("source_key", rate.alias("rate"))  # total is one row
 
 
-def replicate(docs: DataFrame, weights: DataFrame | None = None, *, id_column: str = "doc_id", source: str = "source", text: str = "text", growth: float = 1.0, seed: int = 17) -> DataFrame:
+def replicate(docs: DataFrame, weights: DataFrame | None = None, *, id_column: str = "doc_id", source: str = "source", text: str = "text", growth: float = 1.0, seed: int = 17, most_sources: int = 100_000, most_bytes: int = 64 << 20) -> DataFrame:
     """The input's columns for each copy, and rate, replica (0, 1, ...) and shuffle_key, which orders the result globally."""
-    docs = docs.drop("rate", "replica", "shuffle_key", "source_key")
-    table = rates(docs, weights, source=source, text=text, growth=growth).withColumn("_cdf", distribution(F.col("rate")))
-    rows = docs.withColumn("source_key", F.coalesce(F.col(source).cast("string"), F.lit(""))).join(table, "source_key")
+    docs = docs.drop("rate", "replica", "shuffle_key")
+    key, cdf, n, salt = (fresh(docs, c) for c in ("_source_key", "_cdf", "_n", "_salt"))
+    table = rates(docs, weights, source=source, text=text, growth=growth).withColumn(cdf, distribution(F.col("rate"))).withColumnRenamed("source_key", key)
+    table = checkpointed(table)
+    size = table.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length(key) + 8 * F.size(cdf) + 24), F.lit(0)).alias("bytes")).first()
+    rows = docs.withColumn(key, F.coalesce(F.col(source).cast("string"), F.lit("")))
+    if size["rows"] <= most_sources and size["bytes"] <= most_bytes:
+        rows = rows.join(F.broadcast(table), key)
+    else:
+        rows = rows.withColumn(salt, F.pmod(F.xxhash64(id_column, text), F.lit(SALTS)).cast("int"))
+        rows = rows.join(table.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [key, salt]).drop(salt)
     u = uniform(F.col(id_column), f"count{seed}")
-    count = F.size(F.filter("_cdf", lambda c: c < u))
-    rows = rows.withColumn("_n", count).where("_n > 0").drop("_cdf", "source_key")
-    rows = rows.withColumn("replica", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).drop("_n")
-    key = F.md5(F.concat_ws(":", F.lit(f"order{seed}"), F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.col("replica")).cast("binary"))
-    rows = rows.withColumn("shuffle_key", key)
-    return rows.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    rows = rows.withColumn(n, F.size(F.filter(cdf, lambda c: c < u))).where(F.col(n) > 0)
+    rows = rows.withColumn("replica", F.explode(F.sequence(F.lit(0), F.col(n) - 1))).select(*docs.columns, "rate", "replica")
+    order = F.md5(F.concat_ws(":", F.lit(f"order{seed}"), F.coalesce(F.col(id_column).cast("string"), F.lit("")), F.col("replica")).cast("binary"))
+    # rows whose ids are equal or null are dealt by what they hold
+    return rows.withColumn("shuffle_key", order).repartition("shuffle_key", F.xxhash64(text, source)).sortWithinPartitions("shuffle_key")

@@ -6,6 +6,7 @@ slices of a few MB, so that temporary arrays stay small however long a batch is.
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterator
 
@@ -28,14 +29,24 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; only where that is unset (local tests) a temporary one."""
+    """The folder that spark.checkpoint.dir names; where that is unset, a temporary one if Spark runs in one process."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="checkpoint-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """name, with underscores added until no column of df is called so (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared folder."""
     sc = df.sparkSession.sparkContext

@@ -42,3 +42,11 @@ def test_weights_and_odd_rows(spark):
     keys = [r["shuffle_key"] for r in out.where("doc_id is not null and doc_id <> 5").collect()]
     assert len(set(keys)) == len(keys)
     assert mixing.replicate(df.limit(0)).count() == 0
+
+
+def test_salted_join_and_clashing_columns(spark):
+    rows = [(i, "x" * (50 + i % 7), "ab"[i % 3 == 0], i, i, i) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, source_key int, _n int, _cdf int")
+    one, other = (mixing.replicate(df, most_sources=k) for k in (10, 1))
+    assert one.columns == [*df.columns, "rate", "replica", "shuffle_key"] == other.columns
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, other.collect())) and one.count() > 400
