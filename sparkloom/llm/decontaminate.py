@@ -6,11 +6,12 @@ patterns of one word) how far the search may move on; where the shift is zero, t
 was met, the bucket of that suffix lists the patterns that end so, and the words are compared directly.
 All rows of a slice move on together, each by its own shift.
 
-The benchmark reaches the tasks in blocks of at most ``block_bytes`` of text, which bounds what is broadcast;
-a larger benchmark takes several passes over the documents, and the passes' hits are merged for each document.
-A single item that is longer than a block makes a block of its own.
+The benchmark reaches the tasks in blocks of about ``block_bytes`` of text at most, which bounds what the driver holds
+and what is broadcast: a block's hits are written to the shared folder before the next block is read.  A larger
+benchmark takes several passes over the documents, and the passes' hits are merged for each document.  A single item that
+is longer than a block makes a block of its own.
 
-Nulls and odd input: a null text, or one without a word, has no words, no hits and isn't contaminated; a null
+Nulls and odd input: very long texts are searched whole; other columns stay, whatever their names; a null text, or one without a word, has no words, no hits and isn't contaminated; a null
 or wordless item matches nothing; items with equal text are all listed; a null item_id isn't listed though its
 words are hit.  Repeated documents each get a row.  An empty benchmark leaves every document clean.
 """
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import LOWER, byte_table, runs, utf8_slices, word_hashes
+from .runtime import LOWER, byte_table, checkpointed, fresh, runs, utf8_slices, word_hashes
 
 #: Word bytes after lower-casing: 0-9, a-z and every byte of a non-ASCII character.
 WORD = byte_table(b"0123456789abcdefghijklmnopqrstuvwxyz", above_ascii=True)
@@ -107,7 +108,7 @@ def build(items: list[tuple[str | None, str | None]], window: int) -> tuple[list
 
 def blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> Iterator[list[tuple[str | None, str | None]]]:
     """The benchmark's rows in blocks of about block_bytes, each small enough for the driver and a broadcast."""
-    rows = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(text).alias("text"))
+    rows = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(text).alias("text")).distinct()
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     n = max(1, -(-2 * total // block_bytes))
     for i in range(n):
@@ -120,32 +121,33 @@ def hit_words(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item
     share * n_hit >= n_words) to each row; input columns of these names are replaced."""
     added = ["n_words", "n_hit", "n_items", "items", "items_sha256", "contaminated"]
     docs = docs.drop(*added)
-    parts = list(blocks(benchmark, item_id, item_text, block_bytes))
-    if len(parts) == 1:
-        searched = _searched(docs, parts[0], text, window)
+    spans, row = fresh(docs, "_spans"), fresh(docs, "_row")
+    parts = blocks(benchmark, item_id, item_text, block_bytes)
+    first, second = next(parts), next(parts, None)
+    if second is None:
+        searched = _searched(docs, first, text, window, spans)
     else:  # the hits of several passes meet by row
-        rows = docs.withColumn("_row", F.monotonically_increasing_id())
-        from .runtime import checkpointed
-
-        rows = checkpointed(rows)
-        merged = None
-        for part in parts:
-            one = _searched(rows, part, text, window).select("_row", "n_words", "_spans", "items")
-            merged = one if merged is None else merged.union(one)
-        merged = merged.groupBy("_row").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("_spans")).alias("_spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        searched = rows.join(merged, "_row").drop("_row")
+        rows = checkpointed(docs.withColumn(row, F.monotonically_increasing_id()))
+        texts = rows.select(F.col(row).alias("_row"), F.col(text).alias("t"))
+        merged = checkpointed(_searched(texts, first, "t", window, "_spans").drop("t"))
+        part = second
+        while part is not None:
+            one = _searched(texts, part, "t", window, "_spans").where(F.size("_spans") > 0).drop("t")
+            merged, part = merged.union(checkpointed(one)), next(parts, None)
+        merged = merged.groupBy("_row").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("_spans")).alias(spans), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        searched = rows.join(merged.withColumnRenamed("_row", row), row)
     # spans are (first word, after the last); sorted and swept, so that words under several count once
-    swept = F.aggregate(F.array_sort("_spans"), F.struct(F.lit(0).cast("long").alias("to"), F.lit(0).cast("long").alias("n")), lambda a, s: F.struct(F.greatest(a["to"], s["e"]).alias("to"), (a["n"] + F.greatest(F.lit(0).cast("long"), s["e"] - F.greatest(s["s"], a["to"]))).alias("n")))
+    swept = F.aggregate(F.array_sort(spans), F.struct(F.lit(0).cast("long").alias("to"), F.lit(0).cast("long").alias("n")), lambda a, s: F.struct(F.greatest(a["to"], s["e"]).alias("to"), (a["n"] + F.greatest(F.lit(0).cast("long"), s["e"] - F.greatest(s["s"], a["to"]))).alias("n")))
     out = searched.withColumn("n_hit", swept["n"]).withColumn("n_items", F.size("items").cast("long")).withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256))
     out = out.withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words")))
     return out.select(*docs.columns, *added)
 
 
-def _searched(docs: DataFrame, items: list[tuple[str | None, str | None]], text: str, window: int) -> DataFrame:
-    """docs with n_words, _spans (hit words of this block's items) and items."""
+def _searched(docs: DataFrame, items: list[tuple[str | None, str | None]], text: str, window: int, name: str) -> DataFrame:
+    """docs with n_words, ``name`` (spans of words hit by this block's items) and items."""
     searchers, owners = build(items, window)
-    spans = F.array().cast("array<struct<s:bigint,e:bigint>>")
-    schema = docs.withColumns({"n_words": F.lit(0).cast("long"), "_spans": spans, "items": F.array().cast("array<string>")}).schema
+    none = F.array().cast("array<struct<s:bigint,e:bigint>>")
+    schema = docs.withColumns({"n_words": F.lit(0).cast("long"), name: none, "items": F.array().cast("array<string>")}).schema
     span_type = pa.list_(pa.struct([pa.field("s", pa.int64()), pa.field("e", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,7 +171,7 @@ def _searched(docs: DataFrame, items: list[tuple[str | None, str | None]], text:
                     spans.append([{"s": s, "e": e} for s, e in _joined(hits)])
                     ids.append(sorted(who))
             new = [pa.array(n_words, pa.int64()), pa.array(spans, span_type), pa.array(ids, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], schema=pa.schema([*batch.schema, pa.field("n_words", pa.int64()), pa.field("_spans", span_type), pa.field("items", pa.list_(pa.string()))]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], schema=pa.schema([*batch.schema, pa.field("n_words", pa.int64()), pa.field(name, span_type), pa.field("items", pa.list_(pa.string()))]))
 
     return docs.mapInArrow(run, schema)
 

@@ -44,9 +44,10 @@ def test_equals_brute_force(spark, block):
             parts.append(r.choice(["", "zz", "yy, xx"]))
         docs.append((i, r.choice([" ", "; ", "\n"]).join(parts)))
     docs += [(100, None), (101, ""), (102, "zz " * 5000 + "a b cé d1"), (103, docs[5][1]), (103, docs[5][1])]
-    df = spark.createDataFrame([(*d, "x", 0) for d in docs], "doc_id long, text string, items string, n_hit int")
+    df = spark.createDataFrame([(*d, "x", 0, 1, 2, 3) for d in docs], "doc_id long, text string, items string, n_hit int, _row int, _spans int, t int")
     bench = spark.createDataFrame(items, "item_id long, text string")
     out = dc.hit_words(df, bench, block_bytes=block)
+    assert {r["_row"] + r["_spans"] + r["t"] for r in out.select("_row", "_spans", "t").collect()} == {6}
     got = sorted([tuple(r) for r in out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated").collect()], key=repr)
     assert got == brute(docs, items)
 
