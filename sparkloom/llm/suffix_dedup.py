@@ -22,7 +22,8 @@ steps 2 to 4 in turn; spans shrink until, at one start, equal anchors are equal
 
 Texts count as their UTF-8 bytes; nulls are empty; passages don't cross texts.  Order for ``keep="first"`` is the
 id's, and then the place.  Rows whose ids are null or repeated are told apart by a row number on a checkpointed copy
-of the table.  An empty table gives an empty result; input columns named like a result are replaced.
+of the table.  Very long texts are looked at in overlapping parts.  An empty table gives an empty result; columns other
+than the id and the text are not in the result.
 """
 
 from __future__ import annotations
@@ -214,6 +215,8 @@ def row_numbers(docs: DataFrame, id_column: str) -> tuple[DataFrame, bool]:
 #: Starts in a span, step by step, where an anchor is met in too many surroundings.
 SPANS = (24, 1)
 KEY = 0x5DEECE66D
+#: Tasks that the runs of one anchor are dealt to.
+SALTS = 8
 RANGES = "array<struct<a:int,b:int>>"
 _RANGE = pa.list_(pa.struct([pa.field("a", pa.int32()), pa.field("b", pa.int32())]))
 
@@ -270,7 +273,9 @@ def _judged(rows: DataFrame, runs: DataFrame, length: int, gram: int, keep: str,
     distinct = distinct.select(F.col("x").bitwiseXOR(F.col("fp")).alias("h"), "fp", "r.*", "n")
     distinct = checkpointed(distinct) if top else distinct
     groups = distinct.groupBy("h").agg(F.count("*").alias("different"), F.sum("n").alias("all")).where("all > 1").select("h", "different")
-    sized = distinct.join(groups, "h")
+    # an anchor's runs may be very many: they meet its counts in SALTS tasks
+    salt = F.pmod(F.xxhash64("fp"), F.lit(SALTS)).cast("int")
+    sized = distinct.withColumn("salt", salt).join(groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["h", "salt"]).drop("salt")
     marks = _by_suffixes(rows, sized.where(F.col("different") <= crowd), length, keep)
     if spans and not (top and groups.where(F.col("different") > crowd).isEmpty()):
         marks = marks.union(_by_spans(rows, sized.where(F.col("different") > crowd), length, gram, keep, crowd, spans))
@@ -357,11 +362,11 @@ def _signed(x: int) -> int:
 
 def remove_repeats(docs: DataFrame, *, id_column: str = "doc_id", text: str = "text", length: int = 400, gram: int = 64, keep: str = "none", crowd: int = 512, with_text: bool = False) -> DataFrame:
     """One row per input row: the id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256 (of the bytes
-    left, joined), removed (array of (s, e)), and with ``with_text`` kept, the bytes left (cuts may part a character)."""
+    left, joined), removed (array of (s, e)), and with ``with_text`` kept, the text left, without the characters that a cut parts."""
     rows, is_id = row_numbers(docs.select(F.col(id_column).alias("id"), F.col(text).alias("text")), "id")
     spans = repeated_ranges(rows.select("row", "text"), length=length, gram=gram, keep=keep, crowd=crowd)
     chosen = rows.select("row", "text").join(spans, "row", "left").select("row", "text", "spans")
-    fields = [("row", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("removed", pa.list_(pa.struct([pa.field("s", pa.int32()), pa.field("e", pa.int32())]))), ("kept", pa.binary())]
+    fields = [("row", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("removed", pa.list_(pa.struct([pa.field("s", pa.int32()), pa.field("e", pa.int32())]))), ("kept", pa.string())]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def results() -> Iterator[tuple]:
@@ -376,11 +381,11 @@ def remove_repeats(docs: DataFrame, *, id_column: str = "doc_id", text: str = "t
                         else:
                             merged.append([s, e])
                     left = b"".join(raw[a:b] for a, b in zip([0, *(e for _, e in merged)], [*(s for s, _ in merged), len(raw)], strict=True))
-                    yield ids[i].as_py(), len(raw), len(raw) - len(left), len(merged), sha256(left).hexdigest(), [{"s": s, "e": e} for s, e in merged], left if with_text else None
+                    yield ids[i].as_py(), len(raw), len(raw) - len(left), len(merged), sha256(left).hexdigest(), [{"s": s, "e": e} for s, e in merged], left.decode("utf-8", "ignore") if with_text else None
 
         yield from _batched(results(), [n for n, _ in fields], [t for _, t in fields], 512)
 
-    out = chosen.mapInArrow(cut, "row long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<s:int,e:int>>, kept binary")
+    out = chosen.mapInArrow(cut, "row long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<s:int,e:int>>, kept string")
     out = out if with_text else out.drop("kept")
     if is_id:
         return out.withColumn("row", F.col("row").cast(docs.schema[id_column].dataType)).withColumnRenamed("row", id_column)
