@@ -9,7 +9,8 @@ Only (host, line hash) counts and numbers of words are shuffled, never texts.  C
 and lines over the limit are joined back by (host, hash), where adaptive execution splits a hot host.
 
 Nulls and odd input: a null text has no words and fails the base rules; a null host is a host of its own;
-repeated rows and ids are judged as rows (each counts as a document); an empty table gives an empty result.
+repeated rows and ids are judged as rows (each counts as a document); very long texts are measured whole; an empty table
+gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -103,19 +104,24 @@ def measured(docs: DataFrame, *, text: str = "text", keep: list[str]) -> DataFra
     return chosen.mapInArrow(run, schema).withColumnsRenamed({f"k{i}": c for i, c in enumerate(keep)})
 
 
-def judge(docs: DataFrame, *, id_column: str = "doc_id", text: str = "text", host: str = "source", least_documents: int = 50, least_share: float = 0.01, least_left: float = 0.5, least_words: int = 20) -> DataFrame:
+def judge(docs: DataFrame, *, id_column: str = "doc_id", text: str = "text", host: str = "source", most_documents: int = 20, small_host: int = 3, small_share: float = 0.1, least_left: float = 0.5, least_words: int = 20) -> DataFrame:
     """One row per input row: the id, the base measures, base_failed, n_common_words (in removed lines) and kept.
 
-    A line is removed if it stands in more than ``least_documents`` documents of its host and in more than
-    ``least_share`` of them.  A document is depleted, and not kept, if fewer than ``least_words`` words or less than
-    the share ``least_left`` of its words are left."""
+    A line is removed if it stands in more than ``most_documents`` documents of its host, however large that is; on hosts
+    too small for it, if it stands in at least ``small_host`` documents and in more than ``small_share`` of them.  A document
+    is depleted, and not kept, if fewer than ``least_words`` words or less than the share ``least_left`` of its
+    words are left."""
     rows = measured(docs.select(F.col(id_column).alias("_id"), F.col(host).cast("string").alias("_host"), F.col(text).alias("_text")), text="_text", keep=["_id", "_host"])
     rows = rows.withColumn("_host", F.coalesce(F.concat(F.lit("="), "_host"), F.lit("")))
     rows = checkpointed(rows.withColumn("_row", F.monotonically_increasing_id()))
     lines = rows.select("_row", "_host", F.inline("lines"))
     hosts = rows.groupBy("_host").agg(F.count("*").alias("n_docs"))
-    common = lines.groupBy("_host", "h").agg(F.count("*").alias("n")).where(F.col("n") > least_documents)
-    common = common.join(hosts, "_host").where(F.col("n") > least_share * F.col("n_docs")).select("_host", "h")
+    common = lines.groupBy("_host", "h").agg(F.count("*").alias("n")).where(F.col("n") >= min(small_host, most_documents + 1))
+    # a host's lines may be very many: those over the absolute limit need no host, the others are at most 20 for each line
+    over = common.where(F.col("n") > most_documents).select("_host", "h")
+    small = hosts.where(F.col("n_docs") * small_share < most_documents)
+    few = common.where(F.col("n") <= most_documents).join(small, "_host").where(F.col("n") > small_share * F.col("n_docs")).select("_host", "h")
+    common = over.union(few)
     lost = lines.join(common, ["_host", "h"]).groupBy("_row").agg(F.sum("w").alias("n_common_words"))
     out = rows.drop("lines", "_host").join(lost, "_row", "left").withColumn("n_common_words", F.coalesce("n_common_words", F.lit(0).cast("long")))
     out = out.withColumn("base_failed", (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))

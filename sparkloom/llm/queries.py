@@ -15,8 +15,10 @@ TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digest columns, and the ranges that go and the text that is left (without the characters that a cut parts)."""
     small_batches(spark)
-    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=400).drop("removed")
+    out = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=400, with_text=True)
+    return out.withColumnRenamed("kept", "text")
 
 
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,10 +117,13 @@ FROM d LEFT JOIN counts USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 OP8_SQL = r"""
-WITH convs AS (
+WITH named AS (
   SELECT conv_id, list({'r': role, 't': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, text) AS turns,
          string_agg('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text) AS rendered
-  FROM conversations GROUP BY conv_id),
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+convs AS (
+  SELECT * FROM named UNION ALL
+  SELECT NULL, [{'r': role, 't': text}], '<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) FROM conversations WHERE conv_id IS NULL),
 firsts AS (SELECT turns, min(conv_id) AS conv_id, any_value(rendered) AS rendered, count(*) AS n_equal FROM convs GROUP BY turns)
 SELECT conv_id, len(turns)::BIGINT AS n_turns, n_equal, rendered
 FROM firsts a
@@ -146,7 +151,7 @@ dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM full_lines GRO
 hosts AS (SELECT coalesce('=' || source, '') AS host, count(*) AS n_docs FROM documents GROUP BY 1),
 common AS (
   SELECT host, plain FROM (SELECT host, plain, count(DISTINCT doc_id) AS n FROM full_lines GROUP BY 1, 2) JOIN hosts USING (host)
-  WHERE n > 50 AND n > 0.01 * n_docs),
+  WHERE n > 20 OR n >= 3 AND n > 0.1 * n_docs),
 lost AS (SELECT doc_id, sum(n) AS n FROM full_lines JOIN common USING (host, plain) GROUP BY doc_id),
 base AS (
   SELECT w.doc_id, len(words)::BIGINT AS n_words,

@@ -32,3 +32,18 @@ def test_odd_rows(spark):
     out = {r["conv_id"]: r["n_turns"] for r in chat.render(spark.createDataFrame(rows, schema)).collect()}
     assert out == {1: 2, 2: 1, 3: 1}
     assert chat.render(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_rows_without_an_id_are_conversations_of_their_own(spark, tmp_path):
+    import duckdb
+    from oracle import assert_same
+
+    rows = [(None, 0, "user", "a"), (None, 1, "user", "a"), (None, None, None, None), (None, 5, "user", "b"), (1, 0, "user", "b"), (2, 0, "user", "c"), (2, 1, "assistant", "d")]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    out = sorted((r["conv_id"] or -1, r["n_turns"], r["n_equal"], r["rendered"]) for r in chat.render(df).collect())
+    say = lambda role, text: f"<|im_start|>{role}\n{text}<|im_end|>\n"
+    assert out == [(-1, 1, 1, say("", "")), (-1, 1, 2, say("user", "a")), (1, 1, 2, say("user", "b")), (2, 2, 1, say("user", "c") + say("assistant", "d"))]
+    df.write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    assert_same(chat.render(df), con, OP8_SQL)

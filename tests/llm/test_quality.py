@@ -38,13 +38,22 @@ def test_common_lines(spark):
     rows += [(100 + i, "\n".join(["Boiler plate line 1"] * 8 + ["some words of its own are here as well today"]), "h") for i in range(2)]
     rows += [(200, "boiler plate LINE 7\n" + words, None), (201, words, "other")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    out = {r["doc_id"]: r for r in quality.judge(df, least_documents=10, least_share=0.5).collect()}
+    out = {r["doc_id"]: r for r in quality.judge(df, most_documents=10, small_share=0.5).collect()}
     assert all(out[i]["n_common_words"] == 4 and out[i]["kept"] for i in range(20))
     assert out[100]["n_common_words"] == 32 and not out[100]["kept"]
     assert out[200]["n_common_words"] == out[201]["n_common_words"] == 0 and out[200]["kept"]
     assert quality.judge(df.limit(0)).count() == 0
 
 
+def test_limits_on_small_and_large_hosts(spark):
+    """Production parameters: three of at most 29 documents, or more than 20 of any number."""
+    own = lambda i: f"only here stands {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)} " + "of text " * 20
+    rows = [(i, ("everyone says this\n" if i < 3 else "two say this\n" if i < 5 else "") + own(i), "small") for i in range(10)]
+    rows += [(1000 + i, ("twenty one\n" if i < 21 else "twenty only\n" if i < 41 else "") + own(i), "large") for i in range(1500)]
+    out = {r["doc_id"]: r["n_common_words"] for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert {i for i, n in out.items() if n} == {0, 1, 2} | {1000 + i for i in range(21)} and out[0] == 3 and out[1000] == 2
+
+
 def test_sql(spark, sf_dir):
     from oracle import assert_same, connect
 
