@@ -1,20 +1,33 @@
 """Secret scans: base patterns, and assignment-aware lexing of source and configuration text.
 
 Base spans are the leftmost, non-overlapping matches of the three patterns in ``BASE`` that are long enough.
-The lexer adds spans: it reads ``name = value`` pairs as they stand in code, shell, JSON, YAML and INI text, keeps
-what each name was last given within the text, follows names that stand for other names, and scores a literal by how
-sensitive the names are that it reaches.  A literal counts if its score reaches ``least_score`` and it looks like
-a credential (long enough, no blank, letters and digits mixed or quoted).
 
-Each text is judged by itself, so the work is one pass over the rows without a shuffle.
+The lexer adds spans.  It cuts the text into strings (with quotes, backticks or three quotes), comments, names, bare
+values and marks, and reads from these the pairs of a name and a value, as they stand in
+
+* code: ``name = "..."``, also with a type between, with concatenated pieces, as a keyword argument, as a comparison, and as
+  the argument of a setter or of a call whose first argument is the name;
+* JSON and YAML: ``"name": "..."``, ``name: value``, and block scalars (``name: |`` and the deeper lines below);
+* shell and INI: ``name=value``, below a ``[section]`` whose name counts too;
+* XML: attributes, ``<add key="name" value="..."/>`` and ``<name>value</name>``.
+
+A name that is given another name, or an interpolated one, stands for that name's literals: constants are followed by
+scope (braces, or outside of all braces the indentation of a block; nesting beyond ``DEEPEST`` is one scope), the nearest
+enclosing one first, whether they are defined before or after their use.  Each literal is scored by how sensitive the names are that it reaches.  It counts if its
+score reaches ``least_score`` and its value looks like a credential (long enough, no blank, letters and digits mixed, or
+quoted with several kinds of characters).  Text in comments is read like other text: secrets are left there too.
+
+Each text is judged by itself and whole, so the work is one pass over the rows without a shuffle.  Texts that hold no
+part of a sensitive name anywhere can't have a literal that counts and aren't lexed.
 
 Nulls and odd input: a null text has no spans, an empty one neither; repeated rows each get a row; input
-columns named like a result are replaced.
+columns named like a result are replaced, all others stay.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from hashlib import sha256
 
@@ -33,14 +46,37 @@ KINDS = ["assign", "access", "hex", "literal"]
 #: How much a part of a name says that its value is secret.
 SENSITIVE = {"password": 3, "passwd": 3, "pwd": 3, "passphrase": 3, "secret": 3, "apikey": 3, "credential": 3, "credentials": 3, "token": 2, "auth": 2, "bearer": 2, "private": 2, "signing": 1, "access": 1, "key": 1, "salt": 1}
 HARMLESS = {"public": 2, "id": 1, "name": 1, "path": 2, "file": 2, "url": 2, "length": 2, "count": 2, "type": 2, "example": 2}
+PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
+#: Every part of a sensitive name has one of these in it.
+STEMS = ("pass", "pwd", "secret", "key", "credential", "token", "auth", "bearer", "private", "signing", "access", "salt")
+
+
+def may_score(text: str) -> bool:
+    """False only if no name in the text can score."""
+    low = text.lower()
+    return any(x in low for x in STEMS)
+
 
-#: One assignment: a name (dotted or quoted), an operator, and a quoted literal, a bare value or another name.
-ASSIGNMENT = re.compile(
-    r"""(?P<q>["']?)(?P<name>[A-Za-z_][A-Za-z0-9_.-]{0,63})(?P=q)\]?[ \t]*(?:[:=]=?|=>)[ \t]*"""
-    r"""(?:"(?P<d>[^"\\\n]*(?:\\.[^"\\\n]*)*)"|'(?P<s>[^'\\\n]*(?:\\.[^'\\\n]*)*)'|(?P<bare>[A-Za-z0-9+/_.=$@!%^&*~-]+))""",
+TOKEN = re.compile(
+    r"""(?P<blank>[ \t\r\f\v]+)|(?P<line>\n)"""
+    r"""|(?P<s>[rbuf]{0,2}(?:\"{3}(?P<d3>(?:[^"\\]|\\.|"(?!""))*)\"{3}|'{3}(?P<s3>(?:[^'\\]|\\.|'(?!''))*)'{3}"""
+    r"""|"(?P<d1>[^"\\\n]*(?:\\.[^"\\\n]*)*)"|'(?P<s1>[^'\\\n]*(?:\\.[^'\\\n]*)*)'|`(?P<b1>[^`\\]*(?:\\.[^`\\]*)*)`))"""
+    r"""|(?P<ref>\$\{[A-Za-z_][\w.]*\}|\$[A-Za-z_]\w*)|(?P<name>@?[A-Za-z_][\w]*(?:[.-]\w+|::\w+|->\w+)*)"""
+    r"""|(?P<mark>:=|===?|=>|->|[=:,;+.&(){}\[\]<>|/!?])|(?P<rest>.)""",
+    re.S,
 )
-NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*\Z")
-PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
+#: What a value that isn't quoted may be made of.
+BARE = re.compile(r"[A-Za-z0-9+/_.=$@!%^&*~:-]+")
+NAME = re.compile(r"[A-Za-z_][\w]*(?:[.-]\w+)*")
+CHAINED = re.compile(r"([A-Za-z_]\w*)=(?=[^=\s])")
+DEEPEST = 64
+SECTION = re.compile(r"[ \t]*\[([A-Za-z_][\w .:-]*)\][ \t]*(?:\n|\Z)")
+BLOCK = re.compile(r"[|>][+-]?[0-9]?[ \t]*\n")
+TYPE = re.compile(r"[ \t]*:[ \t]*[A-Za-z_][\w.<>\[\], |?]{0,63}?[ \t]{0,8}=(?![=>])[ \t]*")
+ELEMENT = re.compile(r"<([A-Za-z_][\w.:-]*)[^<>]*>([^<>\n]+)</\1>")
+WORDS = frozenset("if else elif return and or not in is for while true false none null new var let const final static public private protected export def class function import from".split())
+
+Piece = tuple[int, int, bool]  # start, end, quoted
 
 
 def name_score(name: str) -> int:
@@ -57,27 +93,262 @@ def credential_like(value: str, quoted: bool, least: int) -> bool:
     return digit and letter or quoted and len(set(value)) >= 6 and bool(re.search(r"[^A-Za-z]", value))
 
 
+class Lexer:
+    """Pairs of a text: ``pairs`` lists (scope, name, pieces, names that it stands for); ``outer`` gives the scope around each."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.tokens = [(m.lastgroup, m.start(), m.end(), m) for m in TOKEN.finditer(text)]
+        self.starts = {s: i for i, (_, s, _, _) in enumerate(self.tokens)}
+        self.pairs: list[tuple[int, str, list[Piece], list[str]]] = []
+        self.outer: list[int] = [-1]
+        self.read()
+
+    @staticmethod
+    def inside(m: re.Match) -> Piece:
+        group = next(g for g in ("d3", "s3", "d1", "s1", "b1") if m[g] is not None)
+        return (*m.span(group), True)
+
+    def skip(self, i: int, lines: bool = False) -> int:
+        while i < len(self.tokens) and (self.tokens[i][0] == "blank" or lines and self.tokens[i][0] == "line"):
+            i += 1
+        return i
+
+    def mark(self, i: int) -> str:
+        return self.text[self.tokens[i][1] : self.tokens[i][2]] if i < len(self.tokens) and self.tokens[i][0] == "mark" else ""
+
+    def value(self, i: int, code: bool = True) -> tuple[list[Piece], list[str], int]:
+        """Literal pieces, names and the token after the value that starts at token i."""
+        pieces: list[Piece] = []
+        names: list[str] = []
+        deep, want = 0, True
+        while True:
+            i = self.skip(i, lines=deep > 0)
+            if i >= len(self.tokens):
+                return pieces, names, i
+            kind, s, e, m = self.tokens[i]
+            word = self.text[s:e]
+            if kind == "s":
+                pieces.append(self.inside(m))
+                want, i = False, i + 1
+            elif kind == "ref":
+                names.append(word.strip("${}"))
+                want, i = False, i + 1
+            elif kind == "mark" and word == "(" and want:
+                deep, i = deep + 1, i + 1
+            elif kind == "mark" and word == ")" and deep:
+                deep, i = deep - 1, i + 1
+            elif kind == "mark" and word in ("+", ".", "&") and (pieces or names) and not want:
+                j = self.skip(i + 1, lines=True)
+                if j >= len(self.tokens) or self.tokens[j][0] not in ("s", "name", "ref"):
+                    return pieces, names, i
+                want, i = True, j
+            elif kind == "rest" and word == "\\" and i + 1 < len(self.tokens) and self.tokens[i + 1][0] == "line":
+                i += 2
+            elif want and (b := CHAINED.match(self.text, s)):
+                names.append(b[1])
+                want, i = False, self.at(b.end(1))
+            elif want and (b := BARE.match(self.text, s)):
+                bare = b[0].rstrip(":.") or b[0]
+                if NAME.fullmatch(bare):
+                    if bare.lower() in WORDS and bare.lower() in ("new", "await"):
+                        i += 1
+                        continue
+                    names.append(bare)
+                if not pieces:
+                    pieces.append((s, s + len(bare), False))
+                want, i = False, self.at(s + len(bare))
+            else:
+                return pieces, names, i
+
+    def at(self, place: int) -> int:
+        """The first token that starts at or after a place."""
+        while place < len(self.text) and place not in self.starts:
+            place += 1
+        return self.starts.get(place, len(self.tokens))
+
+    def read(self) -> None:
+        text, i, section, fresh = self.text, 0, "", True
+        braces: list[int] = []  # the open scopes
+        indents: list[tuple[int, int]] = []  # (indentation, scope) of the open blocks, where no brace is open
+
+        def open_scope(around: int, depth: int) -> int:
+            if depth >= DEEPEST:
+                return around
+            self.outer.append(around)
+            return len(self.outer) - 1
+
+        while i < len(self.tokens):
+            kind, s, e, m = self.tokens[i]
+            if fresh and kind != "line":
+                width = e - s if kind == "blank" else 0
+                rest = self.skip(i)
+                if not braces and rest < len(self.tokens) and self.tokens[rest][0] != "line":
+                    while indents and indents[-1][0] > width:
+                        indents.pop()
+                    if width and (not indents or indents[-1][0] < width):
+                        indents.append((width, open_scope(indents[-1][1] if indents else 0, len(indents))))
+                fresh = False
+                if head := SECTION.match(text, s):
+                    section, i, fresh = head[1], self.at(head.end()), True
+                    continue
+            if kind == "line":
+                fresh, i = True, i + 1
+                continue
+            scope = braces[-1] if braces else indents[-1][1] if indents else 0
+            word = text[s:e]
+            if kind == "mark" and word == "{":
+                braces.append(open_scope(scope, len(braces)))
+            elif kind == "mark" and word == "}" and braces:
+                braces.pop()
+            elif kind == "mark" and word == "<":
+                if (tag := ELEMENT.match(text, s)) and tag[2].strip():
+                    a = tag.start(2) + len(tag[2]) - len(tag[2].lstrip())
+                    self.pairs.append((scope, tag[1], [(a, a + len(tag[2].strip()), False)], []))
+                i = self.tag(i, scope)
+                continue
+            elif kind in ("name", "s"):
+                i = self.pair(i, scope, section)
+                continue
+            i += 1
+
+    def tag(self, i: int, scope: int) -> int:
+        """Attributes of the tag at token i: pairs of their own, and name and value of the tag's."""
+        held: dict[str, Piece] = {}
+        i += 1
+        while i < len(self.tokens) and self.mark(i) not in ("<", ">") and self.tokens[i][0] != "line":
+            kind, s, e, _ = self.tokens[i]
+            j = self.skip(i + 1)
+            if kind == "name" and self.mark(j) == "=" and (k := self.skip(j + 1)) < len(self.tokens) and self.tokens[k][0] == "s":
+                piece = self.inside(self.tokens[k][3])
+                held[self.text[s:e].lower()] = piece
+                self.pairs.append((scope, self.text[s:e], [piece], []))
+                i = k
+            i += 1
+        label = next((held[k] for k in ("key", "name", "id") if k in held), None)
+        if label and "value" in held:
+            self.pairs.append((scope, self.text[label[0] : label[1]], [held["value"]], []))
+        return i
+
+    def pair(self, i: int, scope: int, section: str) -> int:
+        """The pair whose name is token i, if one follows; the token to go on with."""
+        text = self.text
+        kind, s, e, m = self.tokens[i]
+        if kind == "s":
+            a, b, _ = self.inside(m)
+            name = text[a:b]
+            if len(name) > 64 or not NAME.fullmatch(name):
+                return i + 1
+        else:
+            name = text[s:e]
+        j = self.skip(i + 1)
+        if self.mark(j) == "]":  # config["name"] = ...
+            j = self.skip(j + 1)
+        sign = self.mark(j)
+        if sign == "(" and kind == "name":
+            return self.call(i, j, scope, name)
+        full = f"{section} {name}" if section else name
+        if sign == ":":
+            k = self.skip(j + 1)
+            if k < len(self.tokens) and (b := BLOCK.match(text, self.tokens[k][1])):
+                return self.block(i, b.end(), scope, full)
+            if typed := TYPE.match(text, self.tokens[j][1]):
+                j = self.at(typed.end()) - 1
+                sign = "="
+        if sign not in ("=", ":", ":=", "==", "===", "=>"):
+            return i + 1
+        pieces, names, k = self.value(j + 1)
+        if pieces or names:
+            self.pairs.append((scope, full, pieces, names))
+        # a value that is a name may itself start a pair (a = b = "...", or a label before one)
+        first = self.skip(j + 1)
+        return first if first < len(self.tokens) and self.tokens[first][0] == "name" else max(k, i + 1)
+
+    def call(self, i: int, j: int, scope: int, name: str) -> int:
+        """set_password("...") and put("password", "...")."""
+        k = self.skip(j + 1, lines=True)
+        if k < len(self.tokens) and self.tokens[k][0] == "s":
+            first = self.inside(self.tokens[k][3])
+            after = self.skip(k + 1, lines=True)
+            label = self.text[first[0] : first[1]]
+            if self.mark(after) == "," and len(label) <= 64 and NAME.fullmatch(label):
+                pieces, names, _ = self.value(self.skip(after + 1, lines=True))
+                self.pairs.append((scope, label, pieces, names))
+            elif self.mark(after) == ")" and re.match(r"(?:.*[.>:])?(?:set|with|use)_?[A-Z_a-z]", name):
+                self.pairs.append((scope, name, [first], []))
+        return i + 1
+
+    def block(self, i: int, start: int, scope: int, name: str) -> int:
+        """A YAML block scalar: the lines below that are deeper than the line of its name."""
+        text, s = self.text, self.tokens[i][1]
+        line = text.rfind("\n", 0, s) + 1
+        width = len(text[line:]) - len(text[line:].lstrip(" ")) if line < s else 0
+        width = min(width, s - line)
+        at, pieces = start, []
+        while at < len(text):
+            end = text.find("\n", at)
+            end = len(text) if end < 0 else end
+            body = text[at:end]
+            inner = body.lstrip(" ")
+            if inner and len(body) - len(inner) <= width:
+                break
+            if inner:
+                pieces.append((at + len(body) - len(inner), at + len(body.rstrip()), True))
+            at = end + 1
+        if pieces:
+            self.pairs.append((scope, name, pieces, []))
+        return self.at(min(at, len(text)))
+
+
 def literals(text: str, *, least_score: int = 2, least_length: int = 8) -> list[tuple[int, int, int]]:
     """(start, end, score) of literals that reach a sensitive name, directly or over other names."""
-    held: dict[str, tuple[int, int, str, bool]] = {}
+    if not may_score(text):
+        return []
+    lexed = Lexer(text)
+    pairs = lexed.pairs
+    held: dict[tuple[int, str], list[int]] = {}
+    for k, (scope, name, _, _) in enumerate(pairs):
+        held.setdefault((scope, name.rsplit(" ", 1)[-1].lower()), []).append(k)
+
+    def definition(name: str, k: int) -> int:
+        """The pair that name means in pair k: in the innermost scope that has it the last one before, else the first after; -1: none."""
+        scope, name = pairs[k][0], name.lower()
+        while scope >= 0:
+            if found := held.get((scope, name)):
+                x = bisect_left(found, k)
+                if x:
+                    return found[x - 1]
+                if found[-1] != k:
+                    return found[1 if found[0] == k else 0]
+            scope = lexed.outer[scope]
+        return -1
+
+    scores: dict[int, int] = {}
+    ranked = sorted(((name_score(name), -k) for k, (_, name, _, _) in enumerate(pairs)), reverse=True)
+    for score, k in ranked:  # the highest first, so that each pair is met once, with the best score that reaches it
+        todo = [-k] if score >= least_score else []
+        while todo:
+            k = todo.pop()
+            if k not in scores:
+                scores[k] = score
+                todo += [x for name in pairs[k][3] if (x := definition(name, k)) >= 0]
     best: dict[tuple[int, int], int] = {}
-    for m in ASSIGNMENT.finditer(text):
-        group = "d" if m["d"] is not None else "s" if m["s"] is not None else "bare"
-        value, quoted = m[group], group != "bare"
-        literal = (*m.span(group), value, quoted)
-        if not quoted and NAME.match(value) and value.lower() in held:
-            literal = held[value.lower()]  # a constant's value travels to the new name
-        held[m["name"].lower()] = literal
-        score = name_score(m["name"])
-        if score >= least_score and credential_like(literal[2], literal[3], least_length):
-            best[literal[:2]] = max(score, best.get(literal[:2], 0))
-    return [(s, e, score) for (s, e), score in best.items()]
+    for k, score in scores.items():
+        _, _, pieces, names = pairs[k]
+        if any(definition(name, k) >= 0 for name in names):  # the value is put together with others
+            good = [(s, e) for s, e, quoted in pieces if quoted and credential_like(text[s:e], True, least_length)]
+        else:
+            whole = "".join(text[s:e] for s, e, _ in pieces)
+            good = [(s, e) for s, e, _ in pieces if s < e] if credential_like(whole, all(q for *_, q in pieces), least_length) else []
+        for at in good:
+            best[at] = max(score, best.get(at, 0))
+    return sorted((s, e, score) for (s, e), score in best.items())
 
 
 def spans_of(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans and all spans as (start, kind number, end), sorted; code points, end exclusive."""
     base = [(m.start(), k, m.end()) for k, (_, pattern, group, least) in enumerate(BASE) for m in pattern.finditer(text) if m.end(group) - m.start(group) >= least]
-    more = [(s, 3, e) for s, e, _ in literals(text)] if "=" in text or ":" in text else []
+    more = [(s, 3, e) for s, e, _ in literals(text)]
     return sorted(base), sorted(base + more)
 
 

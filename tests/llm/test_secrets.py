@@ -46,3 +46,60 @@ def test_masks(spark):
     df = spark.createDataFrame([(1, "a token = abcdef123456 b"), (2, "clean"), (3, None)], "doc_id long, text string")
     assert [r["text"] for r in secrets.scan(df, mark="[x]").orderBy("doc_id").collect()] == ["a [x] b", "clean", None]
     assert secrets.scan(df.limit(0)).count() == 0
+
+# text, and the literals that must be found in it (in order), where the base patterns don't count
+LEXED = [
+    ('password = "abc" + "def123456"', ["abc", "def123456"]),
+    ('KEY = """\nZx81kd9Qw2\n"""', []),
+    ('KEY = """Zx81kd9Qw2"""\npassword = KEY', ["Zx81kd9Qw2"]),
+    ("key_b64: |\n  AbCd1234efgh\n  ZZtop98765\nother: 1", []),
+    ("auth:\n  secret_b64: |\n    AbCd1234efgh\n    ZZtop98765\nother: plain1234", ["AbCd1234efgh", "ZZtop98765"]),
+    ('<add key="password" value="Zx81kd9Qw2"/>', ["Zx81kd9Qw2"]),
+    ("<db><password>Zx81kd9Qw2</password><user>abc12345</user></db>", ["Zx81kd9Qw2"]),
+    ('db_password: str = "hunter2!x9"', ["hunter2!x9"]),
+    ('const apiSecret: string = "ab12cd34ef56";', ["ab12cd34ef56"]),
+    ("authToken = `q9w8e7r6t5`", ["q9w8e7r6t5"]),
+    ("login(password=MY_CONST)\nMY_CONST = 'p9o8i7u6'", ["p9o8i7u6"]),
+    ("A = 'p9o8i7u6'\nB = A\nC = B\npassword = C", ["p9o8i7u6"]),
+    ("{\n x = 'inner123x'\n password = x\n}\n{\n x = 'other123x'\n y = x\n}", ["inner123x"]),
+    ("x = 'outer123x'\ndef f():\n    x = 'inner123x'\n    return x\npassword = x", ["outer123x"]),
+    ("# password = 'left1here2'", ["left1here2"]),
+    ("[credentials]\nvalue = q9w8e7r6t5\n[other]\nvalue = q1w2e3r4t5", ["q9w8e7r6t5"]),
+    ('{"user": "abc12345", "client_secret": "q9w8e7r6"}', ["q9w8e7r6"]),
+    ('config["db_password"] = "q9w8e7r6"', ["q9w8e7r6"]),
+    ('conn.setPassword("q9w8e7r6")', ["q9w8e7r6"]),
+    ('props.put("password", "q9w8e7r6")', ["q9w8e7r6"]),
+    ("export DB_PASSWORD=q9w8e7r6 && run", ["q9w8e7r6"]),
+    ("public_key_path = '/a/b/c123456'", []),
+    ("the secret of the garden: nobody knew it", []),
+    ("password = other_name_9", ["other_name_9"]),
+    ("password: hunter2hunter2", ["hunter2hunter2"]),
+    ('password = ("abc1"\n    "def2345")', ["abc1", "def2345"]),
+    ('password = "abc1" +', []),
+    ('password = "', []),
+]
+
+
+def test_lexer():
+    for text, want in LEXED:
+        assert [text[s:e] for s, e, _ in secrets.literals(text)] == want, text
+
+
+def test_lexer_skips_only_what_cannot_score():
+    """The quick test before lexing loses nothing: names of all parts, alone, joined and in any case."""
+    for part in secrets.SENSITIVE:
+        for name in (part, part.upper(), f"my_{part}", f"my{part.title()}", "api_key", "API-KEY", "apiKey"):
+            if secrets.name_score(name) >= 2:
+                assert secrets.may_score(f"x {name} = y")
+
+
+def test_lexer_is_linear():
+    import time
+
+    took = []
+    for n in (20_000, 80_000):
+        start = time.perf_counter()
+        for text in ("password = " + "(" * n, "secret: " * n, 'token = "a" + ' * n, "{" * n + "auth = x", '"' * n + " secret", "<a " * n + "key", "password = x\nx = password\n" * (n // 4), "\\" * n + "token"):
+            secrets.literals(text)
+        took.append(time.perf_counter() - start)
+    assert took[1] < 12 * took[0] + 2
