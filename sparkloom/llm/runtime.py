@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,6 +56,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The rows, written as Parquet to the shared folder: for tables that are read several times, by few columns."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def utf8_slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Yield (first row, row after the last, bytes, offsets into them); null rows have no bytes.
 

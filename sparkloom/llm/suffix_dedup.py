@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import checkpointed, prefix_sums, span_hashes, utf8_slices
+from .runtime import checkpointed, prefix_sums, span_hashes, utf8_slices, written
 
 #: Places of packed keys: a chunk has fewer than 2**PLACE_BITS bytes.
 PLACE_BITS = 20
@@ -249,7 +249,7 @@ def repeated_ranges(rows: DataFrame, *, length: int = 400, gram: int = 64, keep:
     if not 8 <= gram <= length // 2 or keep not in ("none", "first"):
         raise ValueError("gram must be 8 to half the length, keep none or first")
     crowd = min(crowd, ((1 << PLACE_BITS) - CHUNK_BYTES) // (2 * length) - 1)
-    runs = repeats(rows.select("row", "text"), length, gram)
+    runs = written(repeats(rows.select("row", "text"), length, gram))
     spans = _judged(rows, runs.withColumn("n", F.lit(1).cast("long")), length, gram, keep, crowd, SPANS)
     spans = spans.select("row", "pos", F.inline("own"))
     return spans.groupBy("row").agg(F.collect_list(F.struct((F.col("pos") + F.col("a")).alias("s"), (F.col("pos") + F.col("b") + length).alias("e"))).alias("spans"))
