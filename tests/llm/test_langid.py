@@ -1,5 +1,6 @@
 import zlib
 
+import numpy as np
 import pytest
 
 from sparkloom.llm import langid
@@ -39,3 +40,52 @@ def test_labels_are_no_input(spark):
     a = langid.identify(df, model).select("lang_pred", "score").collect()
     b = langid.identify(df.selectExpr("doc_id + 7 as doc_id", "text", "'zz' as lang"), model).select("lang_pred", "score").collect()
     assert a == b
+
+
+def predicted(model, text):
+    raw = np.frombuffer(text.encode(), np.uint8)
+    return tuple(x[0] for x in langid.judged(model, *langid.row_logits(model, raw, np.array([0, len(raw)]))))
+
+
+def test_scores_equal_a_naive_sum(spark, sf_dir):
+    """Gram by gram in plain Python; 300 documents, and one that is longer than a slice."""
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text", "lang").collect()
+    model = langid.fit([r["text"] for r in rows], [r["lang"] for r in rows], epochs=1)
+    for text in [*(r["text"][:500] for r in rows[:40]), "der Hund und die Katze " * 60_000]:
+        raw = text.encode().lower()
+        counts = {}
+        for size in langid.GRAMS if len(raw) < 10_000 else ():
+            for i in range(len(raw) - size + 1):
+                h = 2166136261
+                for b in raw[i : i + size]:
+                    h = ((h ^ b) * 16777619) & 0xFFFFFFFF
+                h = (((h ^ (h >> 15)) * 2654435761) & 0xFFFFFFFF) >> 16
+                counts[h] = counts.get(h, 0) + 1
+        got = langid.row_logits(model, np.frombuffer(text.encode(), np.uint8), np.array([0, len(raw)]))[0][0]
+        if counts:
+            want = sum(n * model.table[h].astype(float) for h, n in counts.items()) / sum(counts.values()) + model.bias
+        else:
+            want = langid.row_logits(model, np.frombuffer(text[: 23 * 600].encode(), np.uint8), np.array([0, 23 * 600]))[0][0]
+        assert np.allclose(got, want, atol=1e-2 if not counts else 1e-5)
+
+
+def test_rejects_what_is_in_no_known_language(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id % 3 = 0 and lang is not null and text is not null").select("text", "lang").collect()
+    learnt, fresh = rows[:2300], rows[2300:]
+    for out in sorted({r["lang"] for r in rows}):
+        use = [r for r in learnt if r["lang"] != out]
+        model = langid.fit([r["text"] for r in use], [r["lang"] for r in use])
+        unseen = [predicted(model, r["text"])[2] for r in fresh if r["lang"] == out]
+        known = [predicted(model, r["text"])[2] for r in fresh if r["lang"] != out]
+        assert sum(unseen) / len(unseen) >= 0.9 and sum(known) / len(known) <= 0.01, out
+    rng = np.random.default_rng(1)
+    noise = [" ".join("".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(2, 9))) for _ in range(30)) for _ in range(100)]
+    assert sum(predicted(model, t)[2] for t in ["xqzt vvkk pprr zzzz", "asdfgh jkl qwerty zxcvbn", *noise]) >= 100
+
+
+def test_no_cap_on_languages_and_clashing_columns(spark):
+    rows = [(None, f"{chr(97 + i % 26) * 3}{chr(97 + i // 26) * 3} words of language number {chr(97 + i % 26)}", f"l{i}") for i in range(80) for _ in range(6)]
+    df = spark.createDataFrame([(*r, 7) for r in rows], "doc_id long, text string, lang string, _letters int")
+    model = langid.train(df, sample_rows=400)
+    assert len(model.languages) > 64
+    assert {r["_letters"] for r in langid.identify(df, model).collect()} == {7}
