@@ -85,32 +85,36 @@ def gram_ids(data: np.ndarray, offsets: np.ndarray, before: int | None = None) -
 
 
 def row_logits(model: LanguageModel, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The linear layer's output for each row, before the temperature, and how usual the row is in each language, in
+    """The linear layer's output for each row, before the temperature, and how usual the row is in the best language, in
     spreads of its length; a row longer than a slice goes in parts."""
-    k, both = len(offsets) - 1, np.concatenate([model.table, model.usual], axis=1)
-    sums, counts = np.zeros((k, both.shape[1])), np.zeros(k)
+    k, known = len(offsets) - 1, len(model.languages)
     if k == 1 and len(data) > SLICE:
+        both = np.concatenate([model.table, model.usual], axis=1)
+        sums, counts = np.zeros(both.shape[1]), np.zeros(1)
         for at in range(0, len(data), SLICE):
             part = data[at : at + SLICE + max(GRAMS) - 1]
             ids, _ = gram_ids(part, np.array([0, len(part)]), SLICE)
-            sums[0] += both[ids].sum(axis=0, dtype=np.float64)
-            counts[0] += len(ids)
+            sums += both[ids].sum(axis=0, dtype=np.float64)
+            counts += len(ids)
+        logits = sums[None, : known + 1] / counts + model.bias
+        best = logits[:, :known].argmax(axis=1)
+        usual = sums[known + 1 + best] / counts
     else:
         ids, rows = gram_ids(data, offsets)
-        counts += np.bincount(rows, minlength=k)
-        for c in range(both.shape[1]):
-            sums[:, c] = np.bincount(rows, both[:, c][ids], minlength=k)
-    counts = np.maximum(counts, 1)
-    means = sums / counts[:, None]
-    cut = model.table.shape[1]
-    return means[:, :cut] + model.bias, (means[:, cut:] - model.centre) / np.sqrt(model.spread[0] + model.spread[1] / counts)[:, None]
+        counts = np.maximum(np.bincount(rows, minlength=k), 1)
+        logits = np.empty((k, known + 1))
+        for c in range(known + 1):
+            logits[:, c] = np.bincount(rows, model.table[:, c][ids], minlength=k) / counts
+        logits += model.bias
+        best = logits[:, :known].argmax(axis=1)
+        usual = np.bincount(rows, model.usual.ravel()[ids * np.uint32(known) + best.astype(np.uint32)[rows]], minlength=k) / counts
+    return logits, (usual - model.centre[best]) / np.sqrt(model.spread[0] + model.spread[1] / counts)
 
 
 def judged(model: LanguageModel, logits: np.ndarray, usual: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best language, its score, and whether it is rejected, of each row."""
     p = softmax(logits / model.temperature)[:, : len(model.languages)]
-    best, score = p.argmax(axis=1), p.max(axis=1)
-    return best, score, (score < model.reject_below) | (usual[np.arange(len(best)), best] < model.reject_unusual)
+    return p.argmax(axis=1), p.max(axis=1), (p.max(axis=1) < model.reject_below) | (usual < model.reject_unusual)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
