@@ -6,6 +6,7 @@ parts) is native.  The parser is the standard library's; a tag left open ends wi
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterable
 from html.parser import HTMLParser
 from urllib.parse import urldefrag, urljoin
@@ -33,32 +34,43 @@ PAGE = T.StructType([
 
 
 class _Node:
-    __slots__ = ("attrs", "children", "parent", "tag")
+    """An element.  ``first``, ``last``: its place among all elements in order, and that of the last one inside it, plus 1;
+    ``begin``, ``end``: the strings inside it, of all strings of the page."""
+
+    __slots__ = ("attrs", "begin", "cached", "children", "end", "first", "last", "page", "parent", "tag")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: _Node | None) -> None:
-        self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
+        self.tag, self.attrs, self.parent, self.children, self.cached = tag, attrs, parent, [], None
 
     def text(self) -> str:
-        return SPACES.sub(" ", " ".join(self.strings())).strip()
+        if self.cached is None:
+            self.cached = SPACES.sub(" ", " ".join(self.page.strings[self.begin : self.end])).strip()
+        return self.cached
+
+    def nodes(self) -> list[_Node]:
+        return self.page.elements[self.first : self.last]
 
-    def strings(self) -> Iterable[str]:
-        stack = [iter(self.children)]
-        while stack:
-            for child in stack[-1]:
-                if isinstance(child, str):
-                    yield child
-                else:
-                    stack.append(iter(child.children))
-                    break
-            else:
-                stack.pop()
 
-    def nodes(self) -> Iterable[_Node]:
-        stack = [self]
+class _Page:
+    """Elements and strings of a tree in order, and the places of each tag."""
+
+    def __init__(self, root: _Node) -> None:
+        self.elements: list[_Node] = []
+        self.strings: list[str] = []
+        self.places: dict[str, list[int]] = {}
+        stack: list[tuple[_Node, bool]] = [(root, False)]
         while stack:
-            node = stack.pop()
-            yield node
-            stack += [c for c in reversed(node.children) if not isinstance(c, str)]
+            node, done = stack.pop()
+            if isinstance(node, str):
+                self.strings.append(node)
+            elif done:
+                node.last, node.end = len(self.elements), len(self.strings)
+            else:
+                node.page, node.first, node.begin = self, len(self.elements), len(self.strings)
+                self.places.setdefault(node.tag, []).append(node.first)
+                self.elements.append(node)
+                stack.append((node, True))
+                stack += [(c, False) for c in reversed(node.children)]
 
 
 class _Tree(HTMLParser):
@@ -92,13 +104,25 @@ class _Tree(HTMLParser):
         if node is not None and node.parent is not None:
             self.at = node.parent
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # an unknown kind of section: what it says up to ">" isn't text
+            end = self.rawdata.find(">", i)
+            return end + 1 if end >= 0 else len(self.rawdata)
+
     def handle_data(self, data: str) -> None:
         if not self.skipping:
             self.at.children.append(data)
 
 
 def _of(node: _Node, *tags: str) -> list[_Node]:
-    return [n for n in node.nodes() if n.tag in tags]
+    """The elements in (and with) node that have one of the tags, in order."""
+    found = []
+    for tag in tags:
+        places = node.page.places.get(tag, [])
+        found += places[bisect_left(places, node.first) : bisect_left(places, node.last)]
+    return [node.page.elements[i] for i in (sorted(found) if len(tags) > 1 else found)]
 
 
 def _class_like(node: _Node, *parts: str) -> bool:
@@ -111,6 +135,7 @@ def page_struct(html: str | None) -> dict:
     tree.feed(html or "")
     tree.close()
     root = tree.root
+    _Page(root)
     title = next((n.text() for n in _of(root, "title")), "")
     headings = [f"<{n.tag.upper()}>{n.text()}</{n.tag.upper()}>" for n in _of(root, "h1", "h2", "h3", "h4", "h5", "h6") if n.text()]
     tables, plain_rows = [], []

@@ -63,17 +63,21 @@ def group_rows(df: DataFrame, order: str, every: int, within: list[str] | None =
     return positions(df, order, "_n").withColumn(name, F.floor(F.col("_n") / every).cast("long") + 1).drop("_n")
 
 
-def positions(df: DataFrame, order: str, name: str = "position", buckets: int = 4096) -> DataFrame:
+def positions(df: DataFrame, order: str, name: str = "position", depth: int = 10) -> DataFrame:
     """0-based position of each row by a numeric ``order`` that tells rows apart.
 
-    Rows are cut to ranges of the order column; the ranges' sizes are summed up (a bounded table), and rows are
-    numbered within their range, so no task sorts the whole table."""
-    bounds = df.agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"))
-    cut = df.crossJoin(F.broadcast(bounds)).withColumn("_b", F.floor((F.col(order) - F.col("_lo")) / F.greatest((F.col("_hi") - F.col("_lo") + 1) / buckets, F.lit(1e-300))).cast("int")).drop("_lo", "_hi")  # bounds is one row
+    Rows are cut to 2**depth ranges that hold about as many rows each, however the numbers lie (bounds are approximate
+    percentiles, one row); the ranges' sizes are summed up, a table of bounded size, and rows are numbered within their
+    range, so no task sorts the whole table.  Rows without a number come first."""
+    n = 1 << depth
+    bounds = df.agg(F.percentile_approx(order, [i / n for i in range(1, n)], 10 * n).alias("_bounds"))  # one row
+    halves = F.array(*[F.lit(1 << i) for i in range(depth - 1, -1, -1)])
+    place = F.aggregate(halves, F.lit(0), lambda a, s: F.when(F.coalesce(F.get("_bounds", a + s - 1) < F.col(order), F.lit(False)), a + s).otherwise(a))
+    cut = df.crossJoin(F.broadcast(bounds)).withColumn("_b", place).drop("_bounds")
     sizes = cut.groupBy("_b").agg(F.count("*").alias("_c"))
     before = sizes.withColumn("_before", F.sum("_c").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))).select("_b", F.coalesce("_before", F.lit(0)).alias("_before"))
     numbered = cut.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy(order)))
-    return numbered.join(F.broadcast(before), "_b").withColumn(name, F.col("_before") + F.col("_r") - 1).drop("_b", "_before", "_r")  # at most `buckets` rows
+    return numbered.join(F.broadcast(before), "_b").withColumn(name, F.col("_before") + F.col("_r") - 1).drop("_b", "_before", "_r")  # at most 2**depth rows
 
 
 def carry_forward(df: DataFrame, markers: dict[str, Column], order: str, within: list[str]) -> DataFrame:

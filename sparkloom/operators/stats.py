@@ -47,7 +47,8 @@ def success_rate(df: DataFrame, keys: list[str], good: Column) -> DataFrame:
 
 
 def failures(df: DataFrame, keys: list[str], bad: Column, detail: list[str], order: str) -> DataFrame:
-    """(keys, total, completed, failed, failed_items: the failed rows' detail in order)."""
+    """(keys, total, completed, failed, failed_items: the failed rows' detail in order), for failures that fit in a row for
+    each key; ``failed_rows`` gives them as rows, ``first_failures`` the first of them, whatever their number."""
     item = F.struct(order, *[c for c in detail if c != order])
     return df.groupBy(*keys).agg(F.count("*").alias("total"), F.count_if(~bad).alias("completed"), F.count_if(bad).alias("failed"), F.array_sort(F.collect_list(F.when(bad, item))).alias("failed_items"))
 

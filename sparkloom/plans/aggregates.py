@@ -117,13 +117,11 @@ def needs_label(t):
     return stats.needs_label(rows, "is_root", "quality").select("doc_id", "lang")
 
 
-@query("""SELECT o_orderpriority, count(*) AS total, count(*) FILTER (o_orderstatus = 'F') AS failed, count(*) FILTER (o_orderstatus <> 'F') AS completed, list_sort(list(o_orderkey) FILTER (o_orderstatus = 'F' AND o_orderkey % 50 = 0))[:3] AS first_failed FROM orders GROUP BY o_orderpriority""")
+@query("""SELECT o_orderpriority, count(*) AS total, count(*) FILTER (o_orderstatus = 'F') AS failed, count(*) FILTER (o_orderstatus <> 'F') AS completed, list_sort(list(o_orderkey) FILTER (o_orderstatus = 'F'))[:3] AS first_failed FROM orders GROUP BY o_orderpriority""")
 def failures_by_category(t):
-    rows = t("orders")
-    counts = stats.failures(rows, ["o_orderpriority"], F.col("o_orderstatus") == "F", ["o_orderkey"], "o_orderkey").drop("failed_items")
-    few = rows.where("o_orderstatus = 'F' and o_orderkey % 50 = 0")
-    first = stats.failures(few, ["o_orderpriority"], F.lit(True), ["o_orderkey"], "o_orderkey").select("o_orderpriority", F.slice("failed_items.o_orderkey", 1, 3).alias("first_failed"))
-    return counts.join(first, "o_orderpriority", "left").select("o_orderpriority", "total", "failed", "completed", "first_failed")
+    """Counts, and the first three failed orders of all, for each priority."""
+    out = stats.first_failures(t("orders"), ["o_orderpriority"], F.col("o_orderstatus") == "F", "o_orderkey")
+    return out.select("o_orderpriority", "total", "failed", "completed", "first_failed")
 
 
 @query("""SELECT o_orderpriority, count(*) AS total, count(*) FILTER (o_orderstatus = 'F') AS failed, count(*) FILTER (o_orderstatus <> 'F') AS completed, list_sort(list(o_orderkey) FILTER (o_orderstatus = 'F'))[:3] AS first_failed FROM orders GROUP BY o_orderpriority""")

@@ -31,7 +31,7 @@ def url_blacklist_kw(t):
 
 @query(r"SELECT page_id, regexp_matches(lower(url), '(^|/)(fr|de)(/|$)') OR regexp_matches(lower(url), '(^|/)(25|e[ns])(/|$)') OR regexp_matches(lower(url), '\.(jpg|pdf)$') AS skipped FROM pages")
 def url_blacklist_regex(t):
-    return t("pages").select("page_id", urls.off_topic("url", ["fr|de", "25|e[ns]"], r"\.(jpg|pdf)$").alias("skipped"))
+    return t("pages").select("page_id", urls.off_topic("url", ["(^|/)(fr|de)(/|$)", "(^|/)(25|e[ns])(/|$)", r"\.(jpg|pdf)$"]).alias("skipped"))
 
 
 @query(r"""WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1)) AS anchor FROM pages)

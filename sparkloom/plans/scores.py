@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions import clean
@@ -144,9 +145,27 @@ def answer_labels(t):
 @query()
 def tfidf_classify(t):
     """Train on four fifths of the labelled documents, choose a threshold there, score the rest."""
-    rows = models.labelled(t("documents").join(t("labels"), "doc_id"), "text", "quality").select("doc_id", "text", "label")
+    rows = _labelled(t)
     train, test = models.split(rows, F.col("doc_id"))
     model = models.fit(train, "logistic", maxIter=20, features=2000)
     at = models.choose_threshold(models.scored(model, train).select("score", "label"))
     out = models.classify(model, test, "text", at)
     return out.select("doc_id", "label", "is_valuable", F.round("confidence", 6).alias("confidence"), "band", F.round("threshold_used", 6).alias("threshold_used"), "method")
+
+
+def _labelled(t):
+    return models.labelled(t("documents").join(t("labels"), "doc_id"), "text", "quality").select("doc_id", "text", "label")
+
+
+@query()
+def tfidf_vectors(t):
+    """The weights of the 12,000 terms in every document, those that aren't zero."""
+    docs = t("documents").select("doc_id", models.classifier_text("text").alias("text")).where("text <> ''")
+    vectors = models.tfidf(docs).transform(docs).select("doc_id", F.posexplode(vector_to_array("features")).alias("term_no", "weight"))
+    return vectors.where("weight <> 0").withColumn("weight", F.round("weight", 6))
+
+
+@query()
+def cv_accuracy(t):
+    """Accuracy of models fitted anew for each of five folds."""
+    return models.cross_validated(_labelled(t), F.col("doc_id"), "logistic", maxIter=20, features=2000).select("fold", F.round("accuracy", 6).alias("accuracy"))

@@ -41,11 +41,13 @@ def write_name_list(df: DataFrame, column: str, path: str) -> None:
 
 
 def markdown_table(df: DataFrame, most: int = 200) -> str:
-    """A Markdown table of the first rows; for results that are small by nature."""
-    rows = df.limit(most).collect()
+    """A Markdown table of the first rows, and how many more there are; all rows belong in a table of their own."""
+    rows = df.limit(most + 1).collect()
+    more = df.count() - most if len(rows) > most else 0
     cell = lambda v: "" if v is None else str(v).replace("|", "\\|").replace("\n", " ")
     lines = ["| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
-    return "\n".join(lines + ["| " + " | ".join(cell(v) for v in r) + " |" for r in rows])
+    lines += ["| " + " | ".join(cell(v) for v in r) + " |" for r in rows[:most]]
+    return "\n".join([*lines, "", f"... and {more} more rows"] if more else lines)
 
 
 def write_markdown_report(sections: dict[str, DataFrame], path: str, title: str, most: int = 200) -> None:
