@@ -3,17 +3,18 @@
 Parsing: tags are read with quoted attributes in mind; script, style and similar elements hold raw text; an
 opening tag first closes what it implies (a paragraph before a block, a list item before the next, cells and rows
 before the next, ...); a closing tag without a partner in scope is ignored.  Nesting deeper than ``DEEPEST`` is
-flattened: the text stays, the extra elements don't.
+flattened: the text stays, the extra elements don't, but their end tags close them and what they hide stays hidden.
 
-Visibility: nothing is emitted of comments, head content, scripts, styles, templates, controls that show no
-text, elements with ``hidden``, ``display:none`` or ``visibility:hidden`` (which an inner ``visibility:visible``
-lifts), and closed details other than their summary.
+Visibility: nothing is emitted of comments, head content, scripts, styles, templates, embedded media, controls that show
+no text, what a drawing only defines or describes, notes of formulas for machines, elements with ``hidden``, ``display:none`` or ``visibility:hidden`` (which an inner ``visibility:visible``
+lifts), and closed details other than their summary.  Text areas show their content as it is; of drawings (svg) text
+elements are emitted, a line each; of formulas (math) all token text.
 
 Layout: white space collapses as in a browser but for ``pre``; paragraphs, headings, lists, tables and the like are
 set off by a blank line, other blocks by a line break; list items get ``- `` or their number and are indented by depth;
 the cells of a table's column start at the same place, with ``colspan`` filling columns.
 
-Each page is rendered by itself in one pass over the rows, without a shuffle.  A null page gives a null text, an
+Each page is rendered by itself and whole, in one pass over the rows, without a shuffle.  A null page gives a null text, an
 empty one an empty text; repeated rows each get a row; input columns named like a result are replaced.
 """
 
@@ -28,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEEPEST = 200
+#: Open elements beyond that depth that are kept in mind; further ones of them count as text.
+MOST_FLAT = 64
 _TOKEN = r"""<!--(?:.*?-->|.*\Z)|<[!?][^>]*>?|<(?P<end>/)?(?P<name>[A-Za-z][^\s/>]*)(?P<attrs>%s)>|(?P<text>[^<]+|<)"""
 #: In TOKEN a quoted value may hold ">".  Where quotes don't pair up, the rest of the page is read with LOOSE, so that
 #: each character is looked at a fixed number of times.
@@ -37,7 +40,9 @@ ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("script style title head template noscript iframe noembed noframes object canvas video audio datalist textarea svg math".split())
+UNSEEN = frozenset("script style title head template noscript iframe noembed noframes object canvas video audio datalist defs desc metadata symbol marker clippath mask annotation annotation-xml".split())
+#: In a drawing, only these show text.
+DRAWN = frozenset("text foreignobject".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset hr menu".split())
 BLOCK = SPACED | frozenset("address article aside body center dd details dialog div dt fieldset figcaption footer form header html legend li main nav optgroup option search section summary caption tr td th thead tbody tfoot".split())
 CLOSES_P = SPACED | frozenset("address article aside center details dialog dir div fieldset figcaption footer form header hgroup main menu nav search section summary".split())
@@ -64,10 +69,11 @@ VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
 
 
 class Node:
-    __slots__ = ("attrs", "children", "tag")
+    __slots__ = ("attrs", "children", "flat", "tag")
 
     def __init__(self, tag: str, attrs: dict[str, str]) -> None:
         self.tag, self.attrs, self.children = tag, attrs, []
+        self.flat: list[Node] | None = None  # open elements that are too deep to be put into the tree
 
 
 def parse(html: str) -> Node:
@@ -86,12 +92,19 @@ def parse(html: str) -> Node:
         if (text := m["text"]) is not None:
             if stack[-1].tag == "head" and not text.isspace():
                 stack.pop()
+            if stack[-1].flat and any(hidden(x, False) != (False, False) for x in stack[-1].flat):
+                continue
             stack[-1].children.append(unescape(text) if "&" in text else text)
             continue
         if (name := m["name"]) is None:
             continue
         name = name.lower()
         if m["end"]:
+            if flat := stack[-1].flat:  # the innermost open element of that name is one that was flattened
+                found = next((i for i in range(len(flat) - 1, -1, -1) if flat[i].tag == name), -1)
+                if found >= 0:
+                    del flat[found:]
+                    continue
             close(stack, name)
             continue
         if name == "html":
@@ -114,7 +127,7 @@ def parse(html: str) -> Node:
                 lower = html.lower() if len(html.lower()) == len(html) else html
             end = lower.find(f"</{name}", at)
             end = len(html) if end < 0 else end
-            node.children.append(html[at:end])
+            node.children.append(unescape(html[at:end]) if name in ("textarea", "title") else html[at:end])
             stack[-1].children.append(node)
             at = html.find(">", end) + 1 or len(html)
         else:
@@ -126,6 +139,11 @@ def push(stack: list[Node], node: Node) -> None:
     if len(stack) < DEEPEST:
         stack[-1].children.append(node)
         stack.append(node)
+    else:
+        top = stack[-1]
+        top.flat = [] if top.flat is None else top.flat
+        if len(top.flat) < MOST_FLAT:
+            top.flat.append(node)
 
 
 def end_implied(stack: list[Node], ended: frozenset[str], stop: frozenset[str]) -> None:
@@ -247,6 +265,13 @@ def walk(node: Node, to: Lines, unseen: bool, depth: int) -> None:
             to.break_(2)
             to.whole(table(child, blind, depth))
             to.break_(2)
+        elif tag == "svg":
+            drawing(child, to, blind, depth)
+        elif tag == "textarea":
+            to.break_(1)
+            if not blind:
+                to.whole(preformatted(child, blind))
+            to.break_(1)
         elif tag == "pre":
             to.break_(2)
             to.whole(preformatted(child, blind))
@@ -277,6 +302,22 @@ def walk(node: Node, to: Lines, unseen: bool, depth: int) -> None:
             walk(child, to, blind, depth)
 
 
+def drawing(node: Node, to: Lines, unseen: bool, depth: int) -> None:
+    """The text elements of a drawing, a line each; titles and shapes show none."""
+    for child in node.children:
+        if isinstance(child, str):
+            continue
+        gone, blind = hidden(child, unseen)
+        if gone:
+            continue
+        if child.tag in DRAWN:
+            to.break_(1)
+            walk(child, to, blind, depth)
+            to.break_(1)
+        else:
+            drawing(child, to, blind, depth)
+
+
 def preformatted(node: Node, unseen: bool) -> list[str]:
     parts: list[str] = []
 

@@ -1,3 +1,4 @@
+from sparkloom.llm import html_text
 import time
 
 import pytest
@@ -15,7 +16,7 @@ CASES = [
     ("a<span hidden>b</span><span style='display: none'>c</span>d", "ad"), ("<div style='visibility:hidden'>a<i style='visibility:visible'>b</i>c</div>", "b"),
     ("<details><summary>s</summary>more</details><details open><summary>s</summary>more</details>", "s\ns\nmore"),
     ("<pre>  a\n    b\t|</pre>c", "  a\n    b   |\n\nc"), ("<p>a</b></div>b</p>", "ab"), ("a < b <c", "a < b <c"), ("<p title='a>b'>x", "x"),
-    ("<select><option>a<option>b</select><textarea>t</textarea><input type=submit value=Go>", "a\nb\nGo"), ("<dl><dt>t<dd>d</dl>", "t\n    d"), ("<blockquote>q<p>r</blockquote>", "    q\n\n    r"),
+    ("<select><option>a<option>b</select><textarea>t</textarea><input type=submit value=Go>", "a\nb\nt\nGo"), ("<dl><dt>t<dd>d</dl>", "t\n    d"), ("<blockquote>q<p>r</blockquote>", "    q\n\n    r"),
 ]
 
 
@@ -51,3 +52,16 @@ def test_pages(spark, sf_dir):
 def test_odd_rows(spark):
     df = spark.createDataFrame([(1, None, "x"), (1, "", "x"), (1, "<p>a", "x"), (1, "<p>a", "x")], "page_id int, html string, text string")
     assert [r["text"] for r in extract(df).collect()] == [None, "", "a", "a"] and extract(df.limit(0)).count() == 0
+
+
+def test_text_areas_drawings_and_formulas():
+    page = "<p>a</p><textarea>\nx &lt; y\n  z</textarea><svg><title>no</title><defs><text>no</text></defs><g><text>up <tspan>there</tspan></text></g><desc>no</desc><text>down</text></svg><p>b <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math></p>"
+    assert html_text.render(page) == "a\n\nx < y\n  z\nup there\ndown\n\nb x=2"
+
+
+def test_beyond_the_depth_limit():
+    deep = "<div>" * (html_text.DEEPEST + 20)
+    assert html_text.render(deep + "<span hidden>no</span><b>yes</b>") == "yes"
+    assert html_text.render(deep + "yes" + "</div>" * 30 + " on") == "yes\non"
+    text = html_text.render("<div>" * (html_text.DEEPEST - 2) + "<p>one<div style='display:none'>no<b>no</b></div>two</p>" + "<div>three</div>")
+    assert "no" not in text and [w for w in text.split()] == ["one", "two", "three"]
