@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import acronym, canonical_name, edge_strip, fuzzy_name
 
-LAYERS = ("manual", "rule", "lower", "canonical", "acronym", "fuzzy")
+LAYERS = ("manual", "rule", "lower", "canonical", "acronym", "fuzzy", "secondary")
 
 
 def lookup_index(catalogue: DataFrame, name: str = "name", order: str = "row_id") -> DataFrame:
@@ -35,16 +35,19 @@ def rule_match(queries: DataFrame, rules: list[tuple[str, str]], query: str = "q
     return queries.withColumn("rule_no", first).where("rule_no is not null").withColumn("target", F.get(targets, F.col("rule_no")))
 
 
-def resolve(queries: DataFrame, catalogue: DataFrame, *, query: str = "query", name: str = "name", order: str = "row_id", aliases: DataFrame | None = None, rules: list[tuple[str, str]] | None = None, fuzzy_threshold: float | None = None) -> DataFrame:
-    """queries with matched_name and match_type: manual, rule, lower, canonical, acronym, fuzzy or failed.
+def resolve(queries: DataFrame, catalogue: DataFrame, *, query: str = "query", name: str = "name", order: str = "row_id", aliases: DataFrame | None = None, rules: list[tuple[str, str]] | None = None, fuzzy_threshold: float | None = None, second: tuple[str, str] | None = None) -> DataFrame:
+    """queries with matched_name and match_type: manual, rule, lower, canonical, acronym, fuzzy, secondary or failed.
 
     aliases: (alias, target), compared in lower case.  Targets of aliases and rules count only if the catalogue
-    has them.  Distinct query names are resolved once and joined back."""
+    has them.  Distinct query names are resolved once and joined back.
+
+    second: columns of queries and catalogue with a second name (of another language, say); rows that fail by the first
+    get the first catalogue row, by ``order``, whose second name is equal."""
     names = queries.select(F.col(query).alias("q")).where("q is not null").distinct().withColumn("s", edge_strip("q")).where("s <> ''")
     index = lookup_index(catalogue, name, order)
     known = catalogue.select(F.col(name).alias("target")).distinct()
     keyed = lambda kind: index.where(F.col("kind") == kind).select(F.col("key").alias(f"k_{kind}"), F.col("name").alias(f"m_{kind}"))
-    out = names.withColumns({"k_lower": F.lower("s"), "k_canonical": canonical_name("s"), "k_acronym": acronym("s")})
+    out = names.withColumns({"k_lower": F.lower("s"), "k_canonical": F.nullif(canonical_name("s"), F.lit("")), "k_acronym": F.nullif(acronym("s"), F.lit(""))})
     for kind in ("lower", "canonical", "acronym"):
         out = out.join(keyed(kind), f"k_{kind}", "left")
     if aliases is not None:
@@ -66,7 +69,23 @@ def resolve(queries: DataFrame, catalogue: DataFrame, *, query: str = "query", n
     matched = F.coalesce(*[F.col(f"m_{k}") for k in kinds])
     kind = F.coalesce(*[F.when(F.col(f"m_{k}").isNotNull(), k) for k in kinds], F.lit("failed"))
     found = out.select("q", matched.alias("matched_name"), kind.alias("match_type"))
-    return queries.join(found, queries[query] == found["q"], "left").drop("q").withColumn("match_type", F.coalesce("match_type", F.lit("failed")))
+    out = queries.join(found, queries[query] == found["q"], "left").drop("q").withColumn("match_type", F.coalesce("match_type", F.lit("failed")))
+    if second is None:
+        return out
+    asked, given = second
+    by_second = catalogue.where(F.col(given) != "").groupBy(F.col(given).alias("_second")).agg(F.min_by(name, F.struct(order, name)).alias("_m"))
+    # only rows that failed have a key, so that those already matched meet nothing
+    out = out.withColumn("_key", F.when((F.col("match_type") == "failed") & (F.coalesce(query, F.lit("")) != ""), F.col(asked))).join(by_second, F.col("_key") == F.col("_second"), "left")
+    out = out.withColumns({"match_type": F.when(F.col("_m").isNotNull(), "secondary").otherwise(F.col("match_type")), "matched_name": F.coalesce("matched_name", "_m")})
+    return out.drop("_key", "_second", "_m")
+
+
+def overall_ranks(resolved: DataFrame, records: DataFrame, ranks: list[str], *, matched: str = "matched_name", name: str = "name") -> DataFrame:
+    """resolved with ``<rank>_rank`` of the matched record for each of the rank columns, null without a match.
+
+    records: one row for each name."""
+    chosen = records.select(F.col(name).alias("_name"), *[F.col(c).alias(f"{c}_rank") for c in ranks])
+    return resolved.join(chosen, F.col(matched) == F.col("_name"), "left").drop("_name")
 
 
 def grams(c: Column, size: int = 3) -> Column:
@@ -81,13 +100,37 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)])
 
 
+def common_subsequence(a: str, b: str) -> int:
+    """Length of the longest common subsequence, a row of the table in the bits of one number."""
+    places: dict[str, int] = {}
+    for i, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    row = full
+    for c in b:
+        hit = row & places.get(c, 0)
+        row = ((row + hit) | (row - hit)) & full
+    return len(a) - row.bit_count()
+
+
+def indel_ratio(a: str, b: str) -> float:
+    """Similarity, 0 to 100, by insertions and deletions."""
+    return 200 * common_subsequence(a, b) / (len(a) + len(b)) if a or b else 100.0
+
+
 def token_set(a: str, b: str) -> float:
-    """Similarity, 0 to 100, of two texts as sets of words: shared words weigh most."""
+    """Similarity, 0 to 100, of two texts as sets of words: 100 if one holds all words of the other, else the best of the
+    indel similarities among the shared words, and these with the rest of either text; 0 if a text has no word."""
     x, y = set(a.split()), set(b.split())
-    both = " ".join(sorted(x & y))
-    left, right = (f"{both} {' '.join(sorted(z))}".strip() for z in (x - y, y - x))
-    pairs = [(both, left), (both, right), (left, right)] if both else [(left, right)]
-    return 100 * max(2 * sum(m.size for m in SequenceMatcher(None, p, q, autojunk=False).get_matching_blocks()) / max(len(p) + len(q), 1) for p, q in pairs)
+    if not x or not y:
+        return 0.0
+    both, left, right = (" ".join(sorted(z)) for z in (x & y, x - y, y - x))
+    if both and not (left and right):
+        return 100.0
+    if not both:
+        return indel_ratio(left, right)
+    one, other = f"{both} {left}", f"{both} {right}"
+    return max(indel_ratio(one, other), indel_ratio(both, one), indel_ratio(both, other))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -100,26 +143,78 @@ def levenshtein_ratio(a: Column, b: Column) -> Column:
     return 1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1))
 
 
-def candidate_pairs(left: DataFrame, right: DataFrame, left_key: Column, right_key: Column, *, common: int = 2, size: int = 3) -> DataFrame:
-    """Pairs of rows whose keys share at least ``common`` n-grams (or all that the shorter one has).
+def gram_size(n: Column, share: float) -> Column:
+    """Length of the n-grams by which a name of n characters is looked up: the longest, up to 3, of which near names surely
+    share one."""
+    return F.when(_shared(n, F.lit(3), share) >= 1, 3).when(_shared(n, F.lit(2), share) >= 1, 2).otherwise(1)
 
-    Both sides are exploded to n-grams and met by an equi-join, so that no side is compared with all of the other."""
-    a = left.withColumn("_a", F.monotonically_increasing_id()).withColumn("_ga", grams(left_key, size))
-    b = right.withColumn("_b", F.monotonically_increasing_id()).withColumn("_gb", grams(right_key, size))
-    return a.select("*", F.explode("_ga").alias("_g")).join(b.select("*", F.explode("_gb").alias("_g")), "_g").groupBy(*[c for c in a.columns if c != "_ga"], *[c for c in b.columns if c != "_gb"]).agg(F.count("*").alias("_n"), F.any_value(F.least(F.size("_ga"), F.size("_gb"))).alias("_m")).where((F.col("_n") >= common) | (F.col("_n") == F.col("_m"))).drop("_n", "_m", "_a", "_b")
 
-
-def fuzzy_best(queries: DataFrame, candidates: DataFrame, *, threshold: float, query: str = "query", candidate: str = "candidate", measure: str = "ratio", normalise: bool = True, common: int = 2) -> DataFrame:
+def _numbered(c: Column, size: int) -> Column:
+    """The n-grams of a text, each with the number of its occurrence, so that a set of them is a multiset of n-grams."""
+    n = F.length(c)
+    every = F.when(n >= size, F.transform(F.sequence(F.lit(1), F.greatest(n - size + 1, F.lit(1))), lambda i: F.substr(c, i, F.lit(size)))).otherwise(F.array().cast("array<string>"))
+    sorted_ = F.array_sort(every)
+    return F.transform(sorted_, lambda g, i: F.concat(F.lit(f"{size}:"), g, F.lit("#"), (i - F.array_position(sorted_, g) + 1).cast("string")))
+
+
+def _shared(n: Column, size: Column, share: float) -> Column:
+    """N-grams of a text of n characters that stay if the edits are at most 1 - ``share`` of n, each spoiling ``size`` of them."""
+    return n - size + 1 - size * F.floor(n * (1 - share) + F.lit(1e-9)).cast("int")
+
+
+def _rare_first(asked: DataFrame, other: DataFrame) -> DataFrame:
+    """(a, b): rows of asked (a, keys, drop) and other (b, keys) that share a key, where ``drop`` of the keys of a row of
+    asked, the most frequent ones in other, aren't looked up.
+
+    Frequent keys are left to rows that have nothing rarer, so that no key has all rows meet all rows."""
+    listed = other.select("b", F.explode("keys").alias("key"))
+    often = listed.groupBy("key").agg(F.count("*").alias("n"))
+    rows = asked.select("a", "drop", F.explode("keys").alias("key")).join(often, "key", "left")
+    ranked = rows.groupBy("a").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key"))).alias("keys"), F.any_value("drop").alias("drop"))
+    kept = ranked.select("a", F.explode(F.slice("keys", F.lit(1), F.greatest(F.size("keys") - F.col("drop"), F.lit(0)))).alias("k")).where("k.n > 0")
+    return kept.select("a", F.col("k.key").alias("key")).join(listed, "key").select("a", "b").distinct()
+
+
+def near_names(queries: DataFrame, candidates: DataFrame, *, share: float, words: bool = False) -> DataFrame:
+    """(a, b): pairs of distinct names of queries (a) and candidates (b).  None is missed that is apart by at most 1 - ``share``
+    edits for each character of a, where ``share`` is above 0.
+
+    Names meet by n-grams, the rarest first: of the n-grams that a name has, only so many are looked up that a near
+    name must have one of them.  words: also names that share words which make up the greater part of one of them."""
+    a, b = queries.select("a").where("a is not null").distinct(), candidates.select("b").where("b is not null").distinct()
+    order = (lambda c: F.array_join(F.array_sort(F.array_distinct(F.split(F.trim(c), r"\s+"))), " ")) if words else F.col
+    n = F.length(order("a"))
+    size = gram_size(n, share)
+    own = F.when(size == 3, _numbered(order("a"), 3)).when(size == 2, _numbered(order("a"), 2)).otherwise(_numbered(order("a"), 1))
+    asked = a.select("a", own.alias("keys"), (F.greatest(_shared(n, size, share), F.lit(1)) - 1).alias("drop"))
+    listed = b.select("b", F.concat(*[_numbered(order("b"), k) for k in (1, 2, 3)]).alias("keys"))
+    out = _rare_first(asked, listed)
+    if words:
+        parts = lambda c: F.filter(F.array_distinct(F.split(F.trim(c), r"\s+")), lambda w: w != "")
+        one, other = a.select("a", parts("a").alias("keys")), b.select("b", parts("b").alias("keys"))
+        out = out.union(_rare_first(one.withColumn("drop", F.lit(0)), other)).distinct()
+    return out
+
+
+def fuzzy_best(queries: DataFrame, candidates: DataFrame, *, threshold: float, query: str = "query", candidate: str = "candidate", measure: str = "ratio", normalise: bool = True) -> DataFrame:
     """Each query with the best candidate whose similarity is over the threshold; of equals the smallest name.
 
-    measure: ratio (matching blocks, 0 to 1), token_set (0 to 100) or levenshtein (0 to 1, native).  Candidates
-    share ``common`` character trigrams with the query."""
+    measure: ratio (matching blocks, 0 to 1, over the threshold), token_set (0 to 100, at least the threshold) or
+    levenshtein (0 to 1, native, over the threshold).  Distinct normal forms are compared once, and only those that meet by
+    ``near_names``, which misses none over a threshold above 0.67 (0.5 for levenshtein)."""
     key = (lambda c: fuzzy_name(c)) if normalise else F.col
-    pairs = candidate_pairs(queries, candidates, key(query), key(candidate), common=common)
-    score = {"ratio": sequence_ratio, "token_set": token_set_ratio, "levenshtein": levenshtein_ratio}[measure](key(query), key(candidate))
+    level = threshold / 100 if measure == "token_set" else threshold
+    asked, given = queries.withColumn("a", key(query)), candidates.withColumn("b", key(candidate))
+    # edits for each character of a: a name that passes is at most 1 / level (by edits) or 2 / level - 1 (by indels) times as long
+    share = 2 - 1 / level if measure == "levenshtein" else 1 - 2 * (1 - level) / level
+    pairs = near_names(asked, given, share=share, words=measure == "token_set")
+    longest = {"levenshtein": F.least(F.length("a"), F.length("b")) > level * F.greatest(F.length("a"), F.length("b")) - 1e-9, "ratio": 2 * F.least(F.length("a"), F.length("b")) > level * (F.length("a") + F.length("b")) - 1e-9}
+    pairs = pairs.where(longest[measure]) if measure in longest else pairs
+    score = {"ratio": sequence_ratio, "token_set": token_set_ratio, "levenshtein": levenshtein_ratio}[measure](F.col("a"), F.col("b"))
     scored = pairs.withColumn("score", score).where(F.col("score") > threshold if measure != "token_set" else F.col("score") >= threshold)
-    best = Window.partitionBy(query).orderBy(F.desc("score"), candidate)
-    return scored.withColumn("_rn", F.row_number().over(best)).where("_rn = 1").drop("_rn")
+    names = given.groupBy("b").agg(F.min_by(F.struct(*candidates.columns), candidate).alias("c"))
+    best = scored.join(names, "b").groupBy("a").agg(F.min_by(F.struct("c", "score"), F.struct((-F.col("score")).alias("s"), F.col(f"c.{candidate}"))).alias("best"))
+    return asked.join(best, "a").select(*queries.columns, "best.c.*", "best.score")
 
 
 def match_counts(resolved: DataFrame, match_type: str = "match_type") -> DataFrame:

@@ -221,3 +221,44 @@ def test_first_failures_of_all_rows(spark):
     assert all(out[k]["first_failed"] == [1, 3, 5] and (out[k]["total"], out[k]["failed"], out[k]["completed"]) == (200, 100, 100) for k in ("a", None))
     assert out["b"]["first_failed"] is None and out["b"]["failed"] == 0
     assert stats.failed_rows(df, F.col("bad")).count() == 200
+
+
+@pytest.mark.parametrize(("measure", "threshold"), [("ratio", 0.85), ("levenshtein", 0.85), ("token_set", 85), ("ratio", 0.7)])
+def test_fuzzy_best_misses_none(spark, measure, threshold):
+    import random
+    from difflib import SequenceMatcher
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            last, row = row, [i + 1]
+            for j, y in enumerate(b):
+                row.append(min(last[j] + (x != y), last[j + 1] + 1, row[j] + 1))
+        return row[-1]
+
+    r = random.Random(4)
+    names = sorted({" ".join("".join(r.choice("abcd") for _ in range(r.randint(1, 5))) for _ in range(r.randint(1, 4))) for _ in range(60)})
+    asked = []
+    for x in names[::2]:
+        y = list(x)
+        for _ in range(r.randint(0, 2)):
+            y[r.randrange(len(y))] = r.choice(["", "a", "bc"])
+        asked.append("".join(y).strip() or "a")
+    asked = sorted(set(asked))
+    score = {"ratio": lambda a, b: SequenceMatcher(None, a, b).ratio(), "levenshtein": lambda a, b: 1 - distance(a, b) / max(len(a), len(b), 1), "token_set": resolve.token_set}[measure]
+    want = {}
+    for a in asked:
+        good = sorted((-score(a, b), b) for b in names if (score(a, b) >= threshold if measure == "token_set" else score(a, b) > threshold))
+        if good:
+            want[a] = good[0][1]
+    out = resolve.fuzzy_best(spark.createDataFrame([(x,) for x in asked], "query string"), spark.createDataFrame([(x,) for x in names], "candidate string"), threshold=threshold, measure=measure, normalise=False)
+    assert {x["query"]: x["candidate"] for x in out.collect()} == want and len(want) > 5
+
+
+def test_token_set_and_second_names(spark):
+    assert resolve.token_set("a b", "b a c") == 100 and resolve.token_set("", "a") == 0 and resolve.common_subsequence("abcbdab", "bdcaba") == 4
+    assert abs(resolve.token_set("new york mets", "new york yankees") - 200 * 8 / (8 + 13)) < 1e-9
+    catalogue = spark.createDataFrame([(1, "Alpha College", "eins", 3), (2, "Beta College", "zwei", 5)], "row_id int, name string, other string, world int")
+    queries = spark.createDataFrame([("Alpha College", "zwei"), ("Gamma Q", "zwei"), ("Gamma Q", "drei"), (None, "eins")], "query string, label string")
+    out = resolve.overall_ranks(resolve.resolve(queries, catalogue, second=("label", "other")), catalogue, ["world"])
+    assert sorted(map(tuple, out.select("label", "match_type", "world_rank").collect()), key=repr) == [("drei", "failed", None), ("eins", "failed", None), ("zwei", "lower", 3), ("zwei", "secondary", 5)]
