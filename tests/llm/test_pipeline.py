@@ -1,6 +1,7 @@
 import corpus_pipeline
-from sparkloom.llm import decontaminate, langid, secrets, simhash
+from sparkloom.llm import decontaminate, langid, secrets
 from sparkloom.llm.queries import queries
+from test_similar import components, linked
 
 
 def test_stages(spark, sf_dir):
@@ -9,8 +10,9 @@ def test_stages(spark, sf_dir):
     one = by_name["language"](spark, docs, sf_dir)
     assert one.columns == docs.columns and docs.count() * 0.95 < one.count() <= docs.count()
     two = by_name["near_duplicates"](spark, one, sf_dir).cache()
-    marks = simhash.near_duplicates(one, max_bits=3).collect()
-    assert {r["doc_id"] for r in two.collect()} == {r["component_id"] for r in marks}
+    rows = sorted(one.select("doc_id", "text").collect())
+    want = components(len(rows), linked([r["text"] for r in rows]))
+    assert {r["doc_id"] for r in two.collect()} == {rows[w]["doc_id"] for w in want}
     three = by_name["decontamination"](spark, two, sf_dir)
     bad = {r["doc_id"] for r in decontaminate.hit_words(two, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("contaminated").collect()}
     assert bad and {r["doc_id"] for r in three.collect()} == {r["doc_id"] for r in two.collect()} - bad
