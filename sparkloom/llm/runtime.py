@@ -35,8 +35,11 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        used = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if used.isDefined():
+            return used.get()
         folder = tempfile.mkdtemp(prefix="checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.sparkContext.setCheckpointDir(folder)  # the setting itself can't be changed in a session
     return folder
 
 
