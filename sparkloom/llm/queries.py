@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_text, langid, mixing, quality, secrets, simhash, suffix_dedup, tokens
+from . import chat, decontaminate, html_text, langid, mixing, phrases, quality, secrets, simhash, suffix_dedup, tokens
 from .runtime import small_batches, table
 
 #: Folder of the vocabulary files; each executor reads it at this path.
@@ -71,8 +71,15 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
+QUERIES = (op1_suffix_dedup, op2_html_extraction, op3_token_counts, op4_language_id, op5_simhash, op6_mixing, op7_decontamination, op8_chat_collapse, op9_secret_scan, op10_quality_rules, op11_phrases)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_html_extraction, op3_token_counts, op4_language_id, op5_simhash, op6_mixing, op7_decontamination, op8_chat_collapse, op9_secret_scan, op10_quality_rules)}
+    return {f.__name__: f for f in QUERIES}
 
 
 OP6_SQL = r"""
@@ -164,7 +171,31 @@ SELECT *, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
 FROM base
 """
 
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS a
+  FROM (SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM pieces, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k) GROUP BY ALL),
+totals AS (SELECT lang, sum(a)::BIGINT AS n FROM grams WHERE k = 1 GROUP BY lang),
+cands AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM grams WHERE k > 1 AND a >= 10),
+cuts AS (
+  SELECT c.lang, c.k, c.phrase, c.a, j, x.a AS l, y.a AS r, (1000000::HUGEINT * c.a * c.a // (x.a::HUGEINT * y.a))::BIGINT AS score
+  FROM (SELECT *, unnest(generate_series(1, k - 1)) AS j FROM cands) c
+  JOIN grams x ON x.lang = c.lang AND x.k = j AND x.phrase = array_to_string(c.w[1:j], ' ')
+  JOIN grams y ON y.lang = c.lang AND y.k = c.k - j AND y.phrase = array_to_string(c.w[j + 1:], ' ')),
+least AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS nth FROM cuts),
+holders AS (
+  SELECT lang, phrase, max(a) AS a FROM (
+    SELECT lang, a, array_to_string(w[1:2], ' ') AS phrase FROM cands WHERE k = 3 UNION ALL SELECT lang, a, array_to_string(w[2:3], ' ') FROM cands WHERE k = 3) GROUP BY ALL),
+ranked AS (
+  SELECT c.lang, row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, c.a DESC, encode(c.phrase)) AS rank, c.phrase, c.a, l, r, score
+  FROM least c LEFT JOIN holders h ON h.lang = c.lang AND h.phrase = c.phrase AND c.k = 2 WHERE nth = 1 AND NOT coalesce(100 * h.a >= 50 * c.a, false))
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """The other operators have no equivalent in SQL: their tests compare them with brute force."""
-    return {"op6_mixing": OP6_SQL, "op7_decontamination": OP7_SQL, "op8_chat_collapse": OP8_SQL, "op10_quality_rules": OP10_SQL}
+    return {"op6_mixing": OP6_SQL, "op7_decontamination": OP7_SQL, "op8_chat_collapse": OP8_SQL, "op10_quality_rules": OP10_SQL, "op11_phrases": OP11_SQL}
