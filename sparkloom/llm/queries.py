@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html_text, langid, mixing, phrases, quality, secrets, simhash, suffix_dedup, tokens
+from . import chat, decontaminate, html_text, langid, mixing, phrases, quality, secrets, simhash, spelling, suffix_dedup, syncmers, tokens
 from .runtime import small_batches, table
 
 #: Folder of the vocabulary files; each executor reads it at this path.
@@ -75,7 +75,16 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.mine(table(spark, sf_dir, "documents"))
 
 
-QUERIES = (op1_suffix_dedup, op2_html_extraction, op3_token_counts, op4_language_id, op5_simhash, op6_mixing, op7_decontamination, op8_chat_collapse, op9_secret_scan, op10_quality_rules, op11_phrases)
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the documents, of which a 199th of the (document, word) pairs is misspelt."""
+    return spelling.variants(table(spark, sf_dir, "documents"), drop_of=199)
+
+
+def op13_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.edited_report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = (op1_suffix_dedup, op2_html_extraction, op3_token_counts, op4_language_id, op5_simhash, op6_mixing, op7_decontamination, op8_chat_collapse, op9_secret_scan, op10_quality_rules, op11_phrases, op12_spelling, op13_syncmers)
 
 
 def queries() -> dict:
