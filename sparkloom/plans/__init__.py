@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import aggregates, names, pages, scores, tabular  # noqa: F401  they register their queries
+from . import aggregates, names, pages, rules, scores, tabular  # noqa: F401  they register their queries
 from .registry import QUERIES, SQL
 
 
