@@ -31,13 +31,13 @@ from pyspark.sql import functions as F
 from .runtime import mix, small_batches, utf8_slices, written
 
 #: Entries and counted n-grams that a task holds at most, and that a shard is meant to have.
-HELD, BLOCK, SHARD = 3_000_000, 1 << 20, 2_000_000
+HELD, BLOCK, SHARD = 1_500_000, 1 << 18, 2_000_000
 #: Words that may get a number in place of their hash; ids are made wide enough that a few thousand are expected.
 MOST_CLASHES, EXPECTED_CLASHES = 1 << 20, 1 << 12
 #: Salts of the first of two rankings within a language.
 SALTS = 32
 #: Distinct words that a task remembers at a time.
-WORDS = 400_000
+WORDS = 200_000
 PART_BYTES = 4 << 20
 BREAK = b"\xff"  # stands in no UTF-8 text
 BREAKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r", BREAK * 10)
