@@ -168,9 +168,11 @@ def semi_failed(t):
     return relational.only_in(t("customer"), failed, "c_custkey").select("c_custkey")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 400000)")
 def anti_seen(t):
-    return relational.not_in(t("customer"), t("orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey").select("c_custkey")
+    """Customers without an order of a high price."""
+    seen = t("orders").where("o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"))
+    return relational.not_in(t("customer"), seen, "c_custkey").select("c_custkey")
 
 
 @query("""SELECT p_partkey, p_size AS rank FROM part WHERE p_size <= 20 AND p_partkey % 3 <> 0""")

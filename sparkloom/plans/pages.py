@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import urls
-from ..operators import pages
+from ..operators import logs, pages
 from .registry import query
 
 _HOST = "regexp_extract(url, '^https?://([^/?#]+)', 1)"
@@ -54,19 +54,59 @@ def page_structured(t):
     return out.select("page_id", "content", pages.plain_structure().alias("plain"), "page.n_lists", "page.n_headings")
 
 
-@query()
+# links of the test pages stand in navigation, which link extraction leaves out: here it is a part like any other
+_LINKS_SQL = r"""open AS (SELECT page_id, url, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS root, substr(html, 1, CASE WHEN contains(html, '<footer') THEN strpos(html, '<footer') ELSE length(html) END) AS html FROM pages),
+found AS (
+  SELECT page_id, url, root, unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1)) AS href, unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2)) AS anchor,
+         unnest(generate_series(0, len(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>')) - 1)) AS position FROM open),
+links AS (SELECT page_id, min(position) AS position, root || href AS link, arg_min(anchor, position) AS anchor_text, root FROM found WHERE href <> '' AND root || href <> split_part(url, '#', 1) GROUP BY page_id, root, href)"""
+
+
+def _open_pages(t):
+    return t("pages").withColumn("html", F.regexp_replace("html", "(</?)nav>", "$1div>"))
+
+
+@query(f"WITH {_LINKS_SQL} SELECT page_id, position::INT AS position, link, anchor_text, NULL::VARCHAR AS matched_keyword FROM links")
 def page_links(t):
     """Every link outside removed parts, absolute, without repeats."""
-    return pages.links(pages.structured(t("pages")).drop("html"), keep=["page_id"], words=None)
+    return pages.links(pages.structured(_open_pages(t)).drop("html"), keep=["page_id"], words=None)
 
 
-@query()
+@query(f"""WITH {_LINKS_SQL},
+kept AS (SELECT *, CASE WHEN contains(lower(anchor_text), 'the') THEN 'the' WHEN contains(lower(anchor_text), 'and') THEN 'and' WHEN contains(lower(anchor_text), 'que') THEN 'que' WHEN contains(lower(anchor_text), 'die') THEN 'die' END AS w FROM links)
+SELECT split_part(root, '://', 2) AS project, link, min(page_id) AS page_id, arg_min(position, page_id)::INT AS position, arg_min(anchor_text, page_id) AS anchor_text, arg_min(w, page_id) AS matched_keyword
+FROM kept WHERE w IS NOT NULL GROUP BY project, link""")
 def project_links(t):
     """The first place of each link within a host."""
-    rows = pages.links(pages.structured(t("pages").withColumn("project", urls.host("url"))).drop("html"), keep=["project", "page_id"], words=["the", "and", "que", "die"])
+    rows = pages.links(pages.structured(_open_pages(t).withColumn("project", urls.host("url"))).drop("html"), keep=["project", "page_id"], words=["the", "and", "que", "die"])
     return pages.new_links(rows, "project")
 
 
+_LOG_SQL = """lines AS (
+  SELECT page_id % 7 AS file, page_id * 4 + k AS line_no, CASE
+    WHEN k = 0 AND page_id % 5 <> 0 THEN '10:00 INFO 项目名称: ' || host || ' '
+    WHEN k = 1 AND page_id % 3 <> 0 THEN '根URL: ' || url
+    WHEN k = 2 AND page_id % 11 <> 0 THEN '项目完成: ' || host
+    WHEN k = 3 THEN '成功率: ' || CASE WHEN length(html) % 2 = 0 THEN '0.0' ELSE '12.5' END || '%' END AS value
+  FROM (SELECT page_id, url, html, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host, unnest([0, 1, 2, 3]) AS k FROM pages))"""
+
+
+@query(rf"""WITH {_LOG_SQL},
+m AS (SELECT file, line_no, nullif(trim(regexp_extract(value, '项目名称: (.+)', 1)), '') AS project, nullif(regexp_extract(value, '根URL: (.+)', 1), '') AS u, nullif(regexp_extract(value, '项目完成: (.+)', 1), '') AS done, nullif(regexp_extract(value, '成功率: ([\d.]+)%', 1), '') AS rate FROM lines),
+p AS (SELECT *, lag(project) OVER (PARTITION BY file ORDER BY line_no) AS of FROM m WHERE project IS NOT NULL OR u IS NOT NULL),
+r AS (SELECT *, lag(done) OVER (PARTITION BY file ORDER BY line_no) AS of FROM m WHERE done IS NOT NULL OR rate IS NOT NULL)
+SELECT r.file, r.line_no, r.of AS project, coalesce((SELECT arg_max(p.u, p.line_no) FROM p WHERE p.file = r.file AND p.of = r.of AND p.u IS NOT NULL AND p.line_no < r.line_no), '未知URL') AS root_url, r.rate::DOUBLE AS rate
+FROM r WHERE r.rate IS NOT NULL AND r.of IS NOT NULL""")
+def log_outcomes(t):
+    """Projects that ended, from the lines of logs in which some marks are missing."""
+    k, host = F.col("k"), urls.host("url")
+    rows = t("pages").select("page_id", "url", "html", F.explode(F.array(*[F.lit(i) for i in range(4)])).alias("k"))
+    value = F.when((k == 0) & (F.col("page_id") % 5 != 0), F.concat(F.lit("10:00 INFO 项目名称: "), host, F.lit(" ")))
+    value = value.when((k == 1) & (F.col("page_id") % 3 != 0), F.concat(F.lit("根URL: "), "url")).when((k == 2) & (F.col("page_id") % 11 != 0), F.concat(F.lit("项目完成: "), host))
+    value = value.when(k == 3, F.concat(F.lit("成功率: "), F.when(F.length("html") % 2 == 0, "0.0").otherwise("12.5"), F.lit("%")))
+    return logs.project_outcomes(rows.select((F.col("page_id") % 7).alias("file"), (F.col("page_id") * 4 + k).alias("line_no"), value.alias("value")))
+
+
 @query()
 def crawl_frontier(t):
     seeds = t("pages").select(urls.host("url").alias("project_id"), "url")
