@@ -1,3 +1,4 @@
+import decimal
 import math
 
 import pytest
@@ -17,16 +18,47 @@ def test_no_python_in_the_plan(spark, sf_dir):
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
 
 
-@pytest.mark.parametrize("rate", [0.0, 0.3, 2.5, 40.0, 1200.0])
-def test_distribution(spark, rate):
+@pytest.mark.parametrize("rate", [0.0, 1e-6, 0.3, 2.5, 40.0, 1200.0, 1e6, 1e9])
+def test_masses(spark, rate):
     from pyspark.sql import functions as F
 
-    cdf = spark.range(1).select(mixing.distribution(F.lit(rate)).alias("c")).first()["c"]
-    want, total = [], 0.0
-    for k in range(len(cdf)):
-        total += math.exp(k * math.log(rate) - rate - math.lgamma(k + 1)) if rate else float(k == 0)
-        want.append(total)
-    assert max(abs(a - b) for a, b in zip(cdf, want)) < 1e-9 and cdf[-1] > 1 - 1e-9
+    row = spark.range(1).select(mixing.first_count(F.lit(rate)).alias("first"), mixing.masses(F.lit(rate)).alias("p")).first()
+    got, first = row["p"], row["first"]
+    assert len(got) <= 20 * math.sqrt(rate) + 63 and abs(math.fsum(got) - 1) < 1e-9
+    with decimal.localcontext(prec=40):
+        r = decimal.Decimal(rate)
+        for at in range(0, len(got), max(1, len(got) // 7)):
+            k = first + at
+            if rate == 0:
+                want = 1.0
+            elif rate <= 1200:
+                want = float((r**k) * (-r).exp() / math.factorial(k)) if k else math.exp(-rate)
+            else:  # from the neighbour: p(k + 1) = p(k) * rate / (k + 1)
+                want = got[at - 1] * rate / k if at else got[at]
+            assert got[at] == pytest.approx(want, rel=1e-10, abs=1e-300)
+
+
+@pytest.mark.parametrize("rate", [0.0, 0.7, 30.0, 50_000.0])
+def test_inverse(spark, rate):
+    from pyspark.sql import functions as F
+
+    df = spark.range(300).select(((F.col("id") + 0.5) / 300).alias("u"), F.lit(rate).alias("r"))
+    got = [r["n"] for r in df.select("u", mixing.inverse(F.col("u"), mixing.first_count(F.col("r")), mixing.masses(F.col("r"))).alias("n")).orderBy("u").collect()]
+    p, first = spark.range(1).select(mixing.masses(F.lit(rate)).alias("p"), mixing.first_count(F.lit(rate)).alias("f")).first()
+    cdf, total = [], 0.0
+    for x in p:
+        total += x
+        cdf.append(total)
+    assert got == [first + sum(c < (i + 0.5) / 300 for c in cdf) for i in range(300)]
+    assert abs(sum(got) / 300 - rate) < 0.1 * math.sqrt(rate) + 0.01
+
+
+def test_one_character_beside_ten_megabytes(spark):
+    """The small source is repeated ten million times over, in expectation."""
+    df = spark.createDataFrame([(1, "x", "small")] + [(i, "y" * 100_000, "large") for i in range(2, 102)], "doc_id long, text string, source string")
+    assert mixing.rates(df).where("source_key = 'small'").first()["rate"] == pytest.approx(5_000_000.5)
+    n = {r["source"]: r["n"] for r in mixing.replicate(df).groupBy("source").agg({"replica": "count"}).withColumnRenamed("count(replica)", "n").collect()}
+    assert abs(n["small"] - 5_000_000) < 12_000 and 30 < n["large"] < 75
 
 
 def test_weights_and_odd_rows(spark):
