@@ -27,6 +27,7 @@ columns named like a result are replaced, all others stay.
 from __future__ import annotations
 
 import re
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 from hashlib import sha256
@@ -57,14 +58,22 @@ def may_score(text: str) -> bool:
     return any(x in low for x in STEMS)
 
 
+#: Strings begin where a token has no kind: with letters that may stand before a quote, and a quote.
 TOKEN = re.compile(
-    r"""(?P<blank>[ \t\r\f\v]+)|(?P<line>\n)"""
-    r"""|(?P<s>[rbuf]{0,2}(?:\"{3}(?P<d3>(?:[^"\\]|\\.|"(?!""))*)\"{3}|'{3}(?P<s3>(?:[^'\\]|\\.|'(?!''))*)'{3}"""
-    r"""|"(?P<d1>[^"\\\n]*(?:\\.[^"\\\n]*)*)"|'(?P<s1>[^'\\\n]*(?:\\.[^'\\\n]*)*)'|`(?P<b1>[^`\\]*(?:\\.[^`\\]*)*)`))"""
+    r"""(?P<blank>[ \t\r\f\v]+)|(?P<line>\n)|[rbuf]{0,2}(?:\"{3}|'{3}|["'`])"""
     r"""|(?P<ref>\$\{[A-Za-z_][\w.]*\}|\$[A-Za-z_]\w*)|(?P<name>@?[A-Za-z_][\w]*(?:[.-]\w+|::\w+|->\w+)*)"""
     r"""|(?P<mark>:=|===?|=>|->|[=:,;+.&(){}\[\]<>|/!?])|(?P<rest>.)""",
     re.S,
 )
+WORD = re.compile(r"@?[A-Za-z_][\w]*(?:[.-]\w+|::\w+|->\w+)*")
+OPENING = re.compile(r"""[rbuf]{0,2}""")
+#: What stands in a string, up to its closing quote; a backslash takes the next character along.
+INSIDE = {
+    '"""': re.compile(r'''(?:[^"\\]|\\.|"(?!""))*+"""''', re.S), "'''": re.compile(r"""(?:[^'\\]|\\.|'(?!''))*+'''""", re.S),
+    '"': re.compile(r'''[^"\\\n]*+(?:\\.[^"\\\n]*+)*+"''', re.S), "'": re.compile(r"""[^'\\\n]*+(?:\\.[^'\\\n]*+)*+'""", re.S),
+    "`": re.compile(r"""[^`\\]*+(?:\\.[^`\\]*+)*+`""", re.S),
+}
+DIGIT, LETTER = re.compile(r"\d"), re.compile(r"[A-Za-z]")
 #: What a value that isn't quoted may be made of.
 BARE = re.compile(r"[A-Za-z0-9+/_.=$@!%^&*~:-]+")
 NAME = re.compile(r"[A-Za-z_][\w]*(?:[.-]\w+)*")
@@ -74,7 +83,6 @@ SECTION = re.compile(r"[ \t]*\[([A-Za-z_][\w .:-]*)\][ \t]*(?:\n|\Z)")
 BLOCK = re.compile(r"[|>][+-]?[0-9]?[ \t]*\n")
 TYPE = re.compile(r"[ \t]*:[ \t]*[A-Za-z_][\w.<>\[\], |?]{0,63}?[ \t]{0,8}=(?![=>])[ \t]*")
 ELEMENT = re.compile(r"<([A-Za-z_][\w.:-]*)[^<>]*>([^<>\n]+)</\1>")
-WORDS = frozenset("if else elif return and or not in is for while true false none null new var let const final static public private protected export def class function import from".split())
 
 Piece = tuple[int, int, bool]  # start, end, quoted
 
@@ -86,8 +94,12 @@ def name_score(name: str) -> int:
     return sum(SENSITIVE.get(p, 0) - HARMLESS.get(p, 0) for p in {*parts, *joined})
 
 
+#: Beginnings of values that aren't secrets.
+FOREIGN = ("http:", "https:", "${", "{{", "<")
+
+
 def credential_like(value: str, quoted: bool, least: int) -> bool:
-    if len(value) < least or any(c.isspace() for c in value) or value.startswith(("http:", "https:", "${", "{{", "<")):
+    if len(value) < least or any(c.isspace() for c in value) or value.startswith(FOREIGN):
         return False
     digit, letter = any(c.isdigit() for c in value), any(c.isalpha() for c in value)
     return digit and letter or quoted and len(set(value)) >= 6 and bool(re.search(r"[^A-Za-z]", value))
@@ -98,16 +110,75 @@ class Lexer:
 
     def __init__(self, text: str) -> None:
         self.text = text
-        self.tokens = [(m.lastgroup, m.start(), m.end(), m) for m in TOKEN.finditer(text)]
+        self.closers: dict[str, array] = {}
+        self.tokens = list(self.read_tokens())
         self.starts = {s: i for i, (_, s, _, _) in enumerate(self.tokens)}
         self.pairs: list[tuple[int, str, list[Piece], list[str]]] = []
         self.outer: list[int] = [-1]
+        self.mixed: dict[tuple[int, int], bool] = {}  # of unquoted values: whether they have letters and digits
+        self.run = (0, 0, 0, -1, -1)  # the unquoted run read last: start, end, end less marks, last digit, last letter
         self.read()
 
+    def read_tokens(self) -> Iterator[tuple[str, int, int, tuple[int, int] | None]]:
+        """(kind, start, end, what stands inside a string)."""
+        text, at = self.text, 0
+        while at < len(text):
+            m = TOKEN.match(text, at)
+            kind, end, within = m.lastgroup, m.end(), None
+            if kind is None:
+                kind, end, within = self.string(at, end)
+            yield kind, at, end, within
+            at = end
+
+    def string(self, start: int, opened: int) -> tuple[str, int, tuple[int, int] | None]:
+        """The string that begins at a place, or what stands there if it isn't closed: a word or a character."""
+        first = OPENING.match(self.text, start).end()
+        for quote in (self.text[first:opened], self.text[first]):
+            inner = first + len(quote)
+            end = self.closer(quote, inner)
+            if end >= 0:
+                return "s", end + len(quote), (inner, end)
+        if first > start:
+            return "name", WORD.match(self.text, start).end(), None
+        return "rest", start + 1, None
+
+    def closer(self, quote: str, at: int) -> int:
+        """Where the quote that closes a string stands, -1 if there is none.
+
+        The first time that one isn't closed, the closing quotes for all places behind it are found in one pass from the end."""
+        if quote not in self.closers:
+            if m := INSIDE[quote].match(self.text, at):
+                return m.end() - len(quote)
+            text, n = self.text, len(self.text)
+            found = array("q", [-1]) * (n + 2)
+            for i in range(n - 1, at - 1, -1):
+                c = text[i]
+                if c == "\\":
+                    found[i] = found[i + 2] if i + 1 < n else -1
+                elif c == quote[0] and text.startswith(quote, i):
+                    found[i] = i
+                elif c != "\n" or quote not in "\"'":
+                    found[i] = found[i + 1]
+            self.closers[quote] = found
+        return self.closers[quote][at]
+
+    def bare(self, s: int) -> tuple[int, bool, bool] | None:
+        """End of the unquoted value at a place, less marks at its end, and whether it has a digit and a letter; None if there is none.
+
+        A run of such characters is read once, wherever in it values begin."""
+        if not self.run[0] <= s < self.run[1]:
+            m = BARE.match(self.text, s)
+            if not m:
+                return None
+            body = m[0].rstrip(":.")
+            digit, letter = DIGIT.search(m[0][::-1]), LETTER.search(m[0][::-1])
+            self.run = (s, m.end(), s + len(body), m.end() - 1 - digit.start() if digit else -1, m.end() - 1 - letter.start() if letter else -1)
+        _, end, stripped, digit, letter = self.run
+        return (stripped if stripped > s else end), digit >= s, letter >= s
+
     @staticmethod
-    def inside(m: re.Match) -> Piece:
-        group = next(g for g in ("d3", "s3", "d1", "s1", "b1") if m[g] is not None)
-        return (*m.span(group), True)
+    def inside(within: tuple[int, int]) -> Piece:
+        return (*within, True)
 
     def skip(self, i: int, lines: bool = False) -> int:
         while i < len(self.tokens) and (self.tokens[i][0] == "blank" or lines and self.tokens[i][0] == "line"):
@@ -148,16 +219,17 @@ class Lexer:
             elif want and (b := CHAINED.match(self.text, s)):
                 names.append(b[1])
                 want, i = False, self.at(b.end(1))
-            elif want and (b := BARE.match(self.text, s)):
-                bare = b[0].rstrip(":.") or b[0]
-                if NAME.fullmatch(bare):
-                    if bare.lower() in WORDS and bare.lower() in ("new", "await"):
+            elif want and (b := self.bare(s)):
+                if NAME.fullmatch(self.text, s, b[0]):
+                    bare = self.text[s : b[0]]
+                    if bare.lower() == "new":
                         i += 1
                         continue
                     names.append(bare)
                 if not pieces:
-                    pieces.append((s, s + len(bare), False))
-                want, i = False, self.at(s + len(bare))
+                    pieces.append((s, b[0], False))
+                    self.mixed[s, b[0]] = b[1] and b[2]
+                want, i = False, self.at(b[0])
             else:
                 return pieces, names, i
 
@@ -337,6 +409,8 @@ def literals(text: str, *, least_score: int = 2, least_length: int = 8) -> list[
         _, _, pieces, names = pairs[k]
         if any(definition(name, k) >= 0 for name in names):  # the value is put together with others
             good = [(s, e) for s, e, quoted in pieces if quoted and credential_like(text[s:e], True, least_length)]
+        elif len(pieces) == 1 and (at := pieces[0][:2]) in lexed.mixed:  # looked at without a copy: values may overlap
+            good = [at] if at[1] - at[0] >= least_length and lexed.mixed[at] and not text.startswith(FOREIGN, at[0]) else []
         else:
             whole = "".join(text[s:e] for s, e, _ in pieces)
             good = [(s, e) for s, e, _ in pieces if s < e] if credential_like(whole, all(q for *_, q in pieces), least_length) else []

@@ -99,7 +99,30 @@ def test_lexer_is_linear():
     took = []
     for n in (20_000, 80_000):
         start = time.perf_counter()
-        for text in ("password = " + "(" * n, "secret: " * n, 'token = "a" + ' * n, "{" * n + "auth = x", '"' * n + " secret", "<a " * n + "key", "password = x\nx = password\n" * (n // 4), "\\" * n + "token"):
+        for text in ("password = " + "(" * n, "secret: " * n, 'token = "a" + ' * n, "{" * n + "auth = x", '"' * n + " secret", "<a " * n + "key", "password = x\nx = password\n" * (n // 4), "\\" * n + "token",
+                     "password " + "\\`" * n, "password " + "a:" * n, "token:" * n, 'secret ' + '\\"' * n, "secret " + '\\"""' * n, "secret " + "\\'''" * n, "token:a1:" * n, "key = `" + "x\\`" * n):
             secrets.literals(text)
         took.append(time.perf_counter() - start)
     assert took[1] < 12 * took[0] + 2
+
+
+def test_planted_values_are_found_and_no_others(spark):
+    """Lines of many forms with names and values of known kinds: the spans follow from how the text was made."""
+    import random
+
+    r = random.Random(11)
+    forms = ['{n} = "{v}"', "{n} = '{v}'", '"{n}": "{v}",', "{n}: {v}", "{n}={v}", "export {n}={v}", 'let {n}: string = "{v}";', 'put("{n}", "{v}")', '<add key="{n}" value="{v}"/>', "{n} := `{v}`", 'cfg["{n}"] = "{v}"']
+    names = [("db_password", True), ("client_secret", True), ("authToken", True), ("apiKey", True), ("passwd", True), ("user", False), ("public_key_path", False), ("title", False), ("token_count", False), ("count", False)]
+    values = [("q9w8e7r6t5", True), ("aB3dE5fG7h", True), ("12345678x", True), ("short1", False), ("justletters", False), ("http://a.b/c1d2", False), ("two words 12", False)]
+    for _ in range(400):
+        text, want = "", []
+        for _ in range(r.randint(1, 12)):
+            form, (name, secret), (value, good) = r.choice(forms), r.choice(names), r.choice(values)
+            if " " in value and form[-1] not in "'\"`,;)>" and '"' not in form:
+                continue
+            line = form.format(n=name, v=value)
+            if secret and good:
+                at = len(text) + line.rindex(value)
+                want.append((at, at + len(value)))
+            text += line + r.choice(["\n", "\n\n"])
+        assert [(s, e) for s, e, _ in secrets.literals(text)] == want, text
