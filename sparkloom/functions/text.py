@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,6 +40,11 @@ def blank_to_null(c: Column | str) -> Column:
     return F.nullif(edge_strip(c), F.lit(""))
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is worked out once, however often, and in whatever lambda, f names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def split_list(c: Column | str, separators: str = LIST_SEPARATORS) -> Column:
     """Parts of a multi-valued cell, stripped, without blanks; an empty array for null."""
     parts = F.transform(F.split(F.coalesce(col(c), F.lit("")), separators), edge_strip)

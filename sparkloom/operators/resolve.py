@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import acronym, canonical_name, edge_strip, fuzzy_name
+from ..functions.text import acronym, canonical_name, edge_strip, fuzzy_name, let
 
 LAYERS = ("manual", "rule", "lower", "canonical", "acronym", "fuzzy", "secondary")
 
@@ -151,10 +151,10 @@ def gram_size(n: Column, share: float) -> Column:
 
 def _numbered(c: Column, size: int) -> Column:
     """The n-grams of a text, each with the number of its occurrence, so that a set of them is a multiset of n-grams."""
-    n = F.length(c)
-    every = F.when(n >= size, F.transform(F.sequence(F.lit(1), F.greatest(n - size + 1, F.lit(1))), lambda i: F.substr(c, i, F.lit(size)))).otherwise(F.array().cast("array<string>"))
-    sorted_ = F.array_sort(every)
-    return F.transform(sorted_, lambda g, i: F.concat(F.lit(f"{size}:"), g, F.lit("#"), (i - F.array_position(sorted_, g) + 1).cast("string")))
+    cut = lambda t: F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - size + 1, F.lit(1))), lambda i: F.substr(t, i, F.lit(size)))
+    every = let(c, lambda t: F.when(F.length(t) >= size, F.sort_array(cut(t))).otherwise(F.array().cast("array<string>")))
+    number = lambda all_: F.transform(all_, lambda g, i: F.concat(F.lit(f"{size}:"), g, F.lit("#"), (i - F.array_position(all_, g) + 1).cast("string")))
+    return let(every, number)
 
 
 def _shared(n: Column, size: Column, share: float) -> Column:
@@ -162,9 +162,9 @@ def _shared(n: Column, size: Column, share: float) -> Column:
     return n - size + 1 - size * F.floor(n * (1 - share) + F.lit(1e-9)).cast("int")
 
 
-def _rare_first(asked: DataFrame, other: DataFrame) -> DataFrame:
-    """(a, b): rows of asked (a, keys, drop) and other (b, keys) that share a key, where ``drop`` of the keys of a row of
-    asked, the most frequent ones in other, aren't looked up.
+def _rare_first(asked: DataFrame, other: DataFrame, bound: Column) -> DataFrame:
+    """(a, b): rows of asked (a, keys, drop) and other (b, keys) that share a key and are within a bound, where ``drop`` of the keys of a
+    row of asked, the most frequent ones in other, aren't looked up.
 
     Frequent keys are left to rows that have nothing rarer, so that no key has all rows meet all rows."""
     listed = other.select("b", F.explode("keys").alias("key"))
@@ -172,15 +172,17 @@ def _rare_first(asked: DataFrame, other: DataFrame) -> DataFrame:
     rows = asked.select("a", "drop", F.explode("keys").alias("key")).join(often, "key", "left")
     ranked = rows.groupBy("a").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key"))).alias("keys"), F.any_value("drop").alias("drop"))
     kept = ranked.select("a", F.explode(F.slice("keys", F.lit(1), F.greatest(F.size("keys") - F.col("drop"), F.lit(0)))).alias("k")).where("k.n > 0")
-    return kept.select("a", F.col("k.key").alias("key")).join(listed, "key").select("a", "b").distinct()
+    return kept.select("a", F.col("k.key").alias("key")).join(listed, "key").where(bound).select("a", "b").distinct()
 
 
-def near_names(queries: DataFrame, candidates: DataFrame, *, share: float, words: bool = False) -> DataFrame:
+def near_names(queries: DataFrame, candidates: DataFrame, *, share: float, words: bool = False, bound: Column | None = None) -> DataFrame:
     """(a, b): pairs of distinct names of queries (a) and candidates (b).  None is missed that is apart by at most 1 - ``share``
     edits for each character of a, where ``share`` is above 0.
 
     Names meet by n-grams, the rarest first: of the n-grams that a name has, only so many are looked up that a near
-    name must have one of them.  words: also names that share words which make up the greater part of one of them."""
+    name must have one of them.  words: also names that share words which make up the greater part of one of them.  bound: what all
+    pairs that are wanted keep to; it is looked at where names meet."""
+    bound = F.lit(True) if bound is None else bound
     a, b = queries.select("a").where("a is not null").distinct(), candidates.select("b").where("b is not null").distinct()
     order = (lambda c: F.array_join(F.array_sort(F.array_distinct(F.split(F.trim(c), r"\s+"))), " ")) if words else F.col
     n = F.length(order("a"))
@@ -188,11 +190,11 @@ def near_names(queries: DataFrame, candidates: DataFrame, *, share: float, words
     own = F.when(size == 3, _numbered(order("a"), 3)).when(size == 2, _numbered(order("a"), 2)).otherwise(_numbered(order("a"), 1))
     asked = a.select("a", own.alias("keys"), (F.greatest(_shared(n, size, share), F.lit(1)) - 1).alias("drop"))
     listed = b.select("b", F.concat(*[_numbered(order("b"), k) for k in (1, 2, 3)]).alias("keys"))
-    out = _rare_first(asked, listed)
+    out = _rare_first(asked, listed, bound)
     if words:
         parts = lambda c: F.filter(F.array_distinct(F.split(F.trim(c), r"\s+")), lambda w: w != "")
         one, other = a.select("a", parts("a").alias("keys")), b.select("b", parts("b").alias("keys"))
-        out = out.union(_rare_first(one.withColumn("drop", F.lit(0)), other)).distinct()
+        out = out.union(_rare_first(one.withColumn("drop", F.lit(0)), other, bound)).distinct()
     return out
 
 
@@ -207,9 +209,11 @@ def fuzzy_best(queries: DataFrame, candidates: DataFrame, *, threshold: float, q
     asked, given = queries.withColumn("a", key(query)), candidates.withColumn("b", key(candidate))
     # edits for each character of a: a name that passes is at most 1 / level (by edits) or 2 / level - 1 (by indels) times as long
     share = 2 - 1 / level if measure == "levenshtein" else 1 - 2 * (1 - level) / level
-    pairs = near_names(asked, given, share=share, words=measure == "token_set")
     longest = {"levenshtein": F.least(F.length("a"), F.length("b")) > level * F.greatest(F.length("a"), F.length("b")) - 1e-9, "ratio": 2 * F.least(F.length("a"), F.length("b")) > level * (F.length("a") + F.length("b")) - 1e-9}
-    pairs = pairs.where(longest[measure]) if measure in longest else pairs
+    pairs = near_names(asked, given, share=share, words=measure == "token_set", bound=longest.get(measure))
+    if measure == "ratio":  # matching blocks hold no more letters than both texts have
+        common = F.size(F.array_intersect(_numbered(F.col("a"), 1), _numbered(F.col("b"), 1)))
+        pairs = pairs.where(2 * common > level * (F.length("a") + F.length("b")) - 1e-9)
     score = {"ratio": sequence_ratio, "token_set": token_set_ratio, "levenshtein": levenshtein_ratio}[measure](F.col("a"), F.col("b"))
     scored = pairs.withColumn("score", score).where(F.col("score") > threshold if measure != "token_set" else F.col("score") >= threshold)
     names = given.groupBy("b").agg(F.min_by(F.struct(*candidates.columns), candidate).alias("c"))
