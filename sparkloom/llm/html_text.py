@@ -7,12 +7,14 @@ flattened: the text stays, the extra elements don't, but their end tags close th
 
 Visibility: nothing is emitted of comments, head content, scripts, styles, templates, embedded media, controls that show
 no text, what a drawing only defines or describes, notes of formulas for machines, elements with ``hidden``, ``display:none`` or ``visibility:hidden`` (which an inner ``visibility:visible``
-lifts), and closed details other than their summary.  Text areas show their content as it is; of drawings (svg) text
+lifts), closed dialogs, and closed details other than their summary; rules of
+style sheets aren't followed, and objects count as loaded.  Text areas show their content as it is; of drawings (svg) text
 elements are emitted, a line each; of formulas (math) all token text.
 
 Layout: white space collapses as in a browser but for ``pre``; paragraphs, headings, lists, tables and the like are
 set off by a blank line, other blocks by a line break; list items get ``- `` or their number and are indented by depth;
-the cells of a table's column start at the same place, with ``colspan`` filling columns.
+the cells of a table's column start at the same place (in characters, wide ones counted twice), with ``colspan`` and ``rowspan`` filling columns and
+rows.  Columns are padded up to a width that keeps a page's text within a fixed multiple of it; longer cells are written whole.
 
 Each page is rendered by itself and whole, in one pass over the rows, without a shuffle.  A null page gives a null text, an
 empty one an empty text; repeated rows each get a row; input columns named like a result are replaced.
@@ -21,14 +23,20 @@ empty one an empty text; repeated rows each get a row; input columns named like
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from html import unescape
+from unicodedata import east_asian_width
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEEPEST = 200
+#: Columns of a table that spans can fill.
+MOST_COLUMNS = 1000
+#: Greatest widths to which a table's columns are padded, and how much padding there may be for each character of a table.
+LIMITS, PADDING = (80, 40, 20, 10, 5), 8
 #: Open elements beyond that depth that are kept in mind; further ones of them count as text.
 MOST_FLAT = 64
 _TOKEN = r"""<!--(?:.*?-->|.*\Z)|<[!?][^>]*>?|<(?P<end>/)?(?P<name>[A-Za-z][^\s/>]*)(?P<attrs>%s)>|(?P<text>[^<]+|<)"""
@@ -228,6 +236,8 @@ def hidden(node: Node, unseen: bool) -> tuple[bool, bool]:
     attrs = node.attrs
     if node.tag in UNSEEN:
         return True, True
+    if node.tag == "dialog" and "open" not in attrs:
+        return True, True
     if attrs:
         style = attrs.get("style", "")
         if "hidden" in attrs or HIDING.search(style):
@@ -340,12 +350,47 @@ def preformatted(node: Node, unseen: bool) -> list[str]:
     return [x.rstrip() for x in lines]
 
 
+def span_of(cell: Node, name: str, most: int) -> int:
+    """A cell's colspan or rowspan; rowspan 0 reaches to the end of the rows."""
+    x = cell.attrs.get(name, "1").strip()
+    n = int(x[:9]) if x.isascii() and x.isdigit() else 1
+    return most if n == 0 and name == "rowspan" else min(max(n, 1), most)
+
+
+def wide(line: str) -> int:
+    """Columns that a line takes: East Asian wide characters take two."""
+    return len(line) if line.isascii() else sum(2 if east_asian_width(c) in "WF" else 1 for c in line)
+
+
 def table(node: Node, unseen: bool, depth: int) -> list[str]:
     """Lines of a table: a caption, then rows whose columns are padded to a common width."""
     lines: list[str] = []
-    grid: list[list[tuple[list[str], int]]] = []
+    grid: list[list[tuple[int, int, list[str]]]] = []  # of each row: column, columns it fills, lines
+    taken: dict[int, int] = {}  # the last row that a cell from above fills in a column
     loose = Lines()
 
+    def row(n: Node, blind: bool) -> None:
+        cells: list[tuple[int, int, list[str]]] = []
+        column, here = 0, len(grid)
+        for cell in n.children:
+            if isinstance(cell, str):
+                if not blind:
+                    loose.text(cell)
+                continue
+            gone, seen = hidden(cell, blind)
+            if gone:
+                continue
+            inner = Lines()
+            walk(cell, inner, seen, depth)
+            while taken.get(column, -1) >= here:
+                column += 1
+            columns, down = min(span_of(cell, "colspan", MOST_COLUMNS), max(1, MOST_COLUMNS - column)), span_of(cell, "rowspan", 65534)
+            if down > 1:
+                taken.update(dict.fromkeys(range(column, column + columns), here + down - 1))
+            cells.append((column, columns, inner.end()))
+            column += columns
+        grid.append(cells)
+
     def rows(n: Node, blind: bool) -> None:
         for c in n.children:
             if isinstance(c, str):
@@ -356,24 +401,15 @@ def table(node: Node, unseen: bool, depth: int) -> list[str]:
             if gone:
                 continue
             if c.tag in ("thead", "tbody", "tfoot", "colgroup"):
+                taken.clear()  # cells end with their group of rows
                 rows(c, own)
+                taken.clear()
             elif c.tag == "caption":
                 inner = Lines()
                 walk(c, inner, own, depth)
                 lines.extend(inner.end())
             elif c.tag == "tr":
-                grid.append([])
-                for cell in c.children:
-                    if isinstance(cell, str):
-                        if not own:
-                            loose.text(cell)
-                        continue
-                    gone, seen = hidden(cell, own)
-                    if not gone:
-                        inner = Lines()
-                        walk(cell, inner, seen, depth)
-                        span = cell.attrs.get("colspan", "1")
-                        grid[-1].append((inner.end(), min(int(span), 1000) if span.isascii() and span.isdigit() and 0 < int(span[:9]) else 1))
+                row(c, own)
             else:  # misplaced content comes before the table, as browsers put it
                 wrap = Node("div", {})
                 wrap.children.append(c)
@@ -381,22 +417,49 @@ def table(node: Node, unseen: bool, depth: int) -> list[str]:
                 loose.break_(1)
 
     rows(node, unseen)
+    return [*loose.end(), *lines, *aligned(grid)]
+
+
+def aligned(grid: list[list[tuple[int, int, list[str]]]]) -> list[str]:
+    """Lines of rows whose cells begin where their columns do.
+
+    A column is as wide as its widest cell, up to a limit: the greatest at which padding takes PADDING times the text at most. Longer
+    cells are written out whole, and push what follows them in their line to the right."""
     widths: dict[int, int] = {}
-    for row in grid:
-        column = 0
-        for cell, span in row:
-            if span == 1:
-                widths[column] = max(widths.get(column, 0), *(len(x) for x in cell), 0)
-            column += span
-    for row in grid:
-        for i in range(max((len(cell) for cell, _ in row), default=0)):
-            line, column = "", 0
-            for cell, span in row:
-                width = sum(widths.get(c, 0) for c in range(column, column + span)) + 3 * (span - 1)
-                line += (cell[i] if i < len(cell) else "").ljust(width) + " | "
-                column += span
-            lines.append(line[:-3].rstrip())
-    return [*loose.end(), *lines]
+    text = 0
+    for cells in grid:
+        for column, columns, lines in cells:
+            most = max((wide(x) for x in lines), default=0)
+            text += sum(map(len, lines)) + 4
+            if columns == 1:
+                widths[column] = max(widths.get(column, 0), most)
+    known = sorted(widths)
+    for limit in (*LIMITS, -1):
+        total, starts = [0], []
+        for c in known:
+            total.append(total[-1] + min(widths[c], limit) + 3)
+
+        def start(column: int) -> int:
+            """Where a column begins; columns that no cell has for itself take no room."""
+            return total[bisect_left(known, column)] if limit >= 0 else 0
+
+        starts = [start(cells[-1][0]) if cells else 0 for cells in grid]
+        if limit < 0 or sum(s * max((len(x) for _, _, x in cells), default=0) for s, cells in zip(starts, grid, strict=True)) <= PADDING * text + 1000:
+            break
+    out = []
+    for cells in grid:
+        for i in range(max((len(x) for _, _, x in cells), default=0)):
+            parts, at = [], 0
+            for column, _, lines in cells:
+                gap = start(column) - at
+                if column and (limit >= 0 or column != cells[0][0]):
+                    parts.append(" " * max(gap - 3, 0) + " | ")
+                    at += max(gap - 3, 0) + 3
+                body = lines[i] if i < len(lines) else ""
+                parts.append(body)
+                at += wide(body)
+            out.append("".join(parts).rstrip())
+    return out
 
 
 def render(html: str) -> str:

@@ -12,6 +12,9 @@ CASES = [
     ("<table><tr><th>Name<th>No<tr><td>a<td>10<tr><td>long name<td>2</table>", "Name      | No\na         | 10\nlong name | 2"),
     ("<table><tr><td colspan=2>wide cell over both<tr><td>a<td>b</table>", "wide cell over both\na | b"),
     ("<table><tr><td>a<br>b<td>c</table>", "a | c\nb |"),
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>", "a | b\n  | c"), ("<table><tr><td>1<td rowspan=0>all<td>x<tr><td>2<td>y<tbody><tr><td>3<td>4<td>5</table>", "1 | all | x\n2       | y\n3 | 4   | 5"),
+    ("<table><tr><td colspan=2 rowspan=2>ab<td>c<tr><td>d<tr><td>e<td>f<td>g</table>", "ab    | c\n      | d\ne | f | g"), ("<table><tr><td>漢字<td>x<tr><td>abcde<td>y</table>", "漢字  | x\nabcde | y"),
+    ("a<dialog>no</dialog><dialog open>yes</dialog>", "a\nyes"),
     ("<head><title>T</title></head><body>x<script>var a='<p>';</script><style>p{}</style><!-- no --><template>t</template>y</body>", "xy"),
     ("a<span hidden>b</span><span style='display: none'>c</span>d", "ad"), ("<div style='visibility:hidden'>a<i style='visibility:visible'>b</i>c</div>", "b"),
     ("<details><summary>s</summary>more</details><details open><summary>s</summary>more</details>", "s\ns\nmore"),
@@ -65,3 +68,43 @@ def test_beyond_the_depth_limit():
     assert html_text.render(deep + "yes" + "</div>" * 30 + " on") == "yes\non"
     text = html_text.render("<div>" * (html_text.DEEPEST - 2) + "<p>one<div style='display:none'>no<b>no</b></div>two</p>" + "<div>three</div>")
     assert "no" not in text and [w for w in text.split()] == ["one", "two", "three"]
+
+
+def test_tables_stay_within_a_multiple_of_the_page():
+    pages = [
+        "<table><tr><td>" + "w" * 8000 + "<td>end" + "<tr><td>a<td>b" * 8000 + "</table>", "<table>" + "<tr><td colspan=999>a<td>b" * 5000 + "</table>", "<table>" + "<tr>" + "<td>aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa" * 500 + "<tr><td colspan=499><td>x" * 3000 + "</table>",
+        "<table><tr>" + "<td rowspan=65534 colspan=1000>z" * 5 + "<tr><td>a" * 5000 + "</table>",
+    ]
+    for page in pages:
+        began = time.time()
+        assert len(render(page)) < 12 * len(page) and time.time() - began < 20
+    assert "w" * 8000 in render(pages[0]) and render(pages[0]).endswith(" | b")
+
+
+def test_small_tables_against_a_grid_of_characters():
+    """Cells of one line each, with spans: every cell begins in the column's place, found by filling a grid cell by cell."""
+    import random
+
+    r = random.Random(12)
+    for _ in range(300):
+        rows = [[("".join(r.choices("abc", k=r.randint(1, 6))), r.choice([1, 1, 1, 2]), r.choice([1, 1, 1, 2, 3])) for _ in range(r.randint(1, 4))] for _ in range(r.randint(1, 5))]
+        grid, placed = {}, []
+        for i, row in enumerate(rows):
+            for text, across, down in row:
+                c = next(c for c in range(99) if (i, c) not in grid)
+                placed.append((i, c, across, text))
+                grid |= {(i + d, c + a): text for d in range(down) for a in range(across)}
+        width = {}
+        for _, c, across, text in placed:
+            if across == 1:
+                width[c] = max(width.get(c, 0), len(text))
+        begin = lambda c: sum(width[k] + 3 for k in width if k < c)
+        html = "<table>" + "".join("<tr>" + "".join(f"<td colspan={a} rowspan={d}>{t}" for t, a, d in row) for row in rows) + "</table>"
+        # text wider than its columns pushes what follows it to the right
+        lines, want = render(html).split("\n"), []
+        for i in range(len(rows)):
+            line = ""
+            for _, c, _, text in [p for p in placed if p[0] == i]:
+                line = (line.ljust(begin(c) - 3) + " | " if c else "") + text
+            want.append(line.rstrip())
+        assert lines == want, html
