@@ -40,7 +40,7 @@ BUCKETS = 1 << 16
 GRAMS = (1, 2, 3, 4)
 DIM = 16
 #: Bytes looked at together.
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 
 @dataclass
