@@ -1,7 +1,9 @@
 """Operators on small tables."""
 
 import json
+import math
 import zipfile
+from collections import Counter
 
 import pandas as pd
 import pytest
@@ -162,6 +164,26 @@ def test_enrich(spark):
     assert enrich.ask_repeatedly(spark.createDataFrame([("p",)], "prompt string"), "prompt", enrich.echo, votes=3).count() == 3
 
 
+def test_terms_are_counted_without_grouping_rows(spark):
+    rows = [(k % 3, [w for w in ("a b b c" if k % 2 else "b c d").split()]) for k in range(12)] + [(0, []), (1, ["é", "z", "z"]), (2, ["é", "z"])]
+    terms = spark.createDataFrame(rows, "_part int, _terms array<string>")
+    used = [[0, 1, 2], [1, 2]]
+    for features in (2, 3, 50):
+        for some, (words, weights) in zip(used, models.vocabularies(terms, 3, used, features, 2, 0.75), strict=True):
+            mine = [t for p, t in rows if p in some]
+            n, docs = Counter(w for t in mine for w in t), Counter(w for t in mine for w in set(t))
+            want = sorted((w for w in n if 2 <= docs[w] <= 0.75 * len(mine)), key=lambda w: (-n[w], w))[:features]
+            assert words == want and weights == pytest.approx([math.log((len(mine) + 1) / (docs[w] + 1)) for w in want])
+
+
+def test_cross_validation_writes_the_text_once(spark, monkeypatch):
+    rows = [(i, "course credit program requirement number" if i % 2 else "football match result yesterday evening", float(i % 2)) for i in range(40)]
+    called = []
+    monkeypatch.setattr(models, "term_stages", lambda real=models.term_stages: called.append(1) or real())
+    got = models.cross_validated(spark.createDataFrame(rows, "doc_id int, text string, label double"), "doc_id", "logistic", maxIter=5).collect()
+    assert len(called) == 1 and sorted((r["fold"], r["accuracy"]) for r in got) == [(k, 1.0) for k in range(5)]
+
+
 def test_model(spark, tmp_path):
     rows = [(i, "course credit program requirement number" if i % 2 else "football match result yesterday evening", i % 2) for i in range(40)] + [(99, "short", 1), (98, None, 0)]
     df = models.labelled(spark.createDataFrame(rows, "doc_id int, t string, y int"), "t", "y").select("doc_id", "text", "label")
