@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from sparkloom.llm import queries
 from sparkloom.llm import suffix_dedup as sd
 
 
@@ -78,3 +79,21 @@ def test_longest_previous_factors():
         for i in starts:
             others = [j for j in starts if (j > i if later else j < i)]
             assert got[i] == max((common(i, j) for j in others), default=0)
+
+
+def test_planted_passages_by_the_query(spark, tmp_path):
+    """Passages of over 50 words that two documents share: n_removed and the text left show them, n_bytes is the whole text's length."""
+    r = random.Random(5)
+
+    def prose(n, letters):
+        return " ".join("".join(r.choice("abcdeé") for _ in range(letters)) for _ in range(n))
+
+    long, short = [prose(60, 8) for _ in range(6)], [prose(55, 4) for _ in range(6)]
+    planted = [f"{prose(40, 7)} {p} {prose(30, 7)}" for p in long + short for _ in range(2)]
+    rows = [*enumerate(planted + [prose(120, 7) for _ in range(12)]), (99, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op1_suffix_dedup(spark, str(tmp_path)).orderBy("doc_id").collect()
+    assert sorted((tuple(x)[:5] for x in found), key=repr) == brute(rows, 400)
+    assert all(len(p.encode()) > 400 for p in long) and all(len(p.encode()) < 400 for p in short)
+    assert [x["doc_id"] for x in found if x["n_removed"]] == list(range(12))
+    assert not any(p in x["text"] for p in long for x in found) and [x["text"] for x in found[12:]] == [t or "" for _, t in rows[12:]]
