@@ -28,3 +28,9 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_tfidf_vectors_prepare_each_text_once(spark, sf_dir):
+    """The prepared text is read three times, so it is written; no plan that follows cleans it anew."""
+    plan = plans.queries()["tfidf_vectors"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan
